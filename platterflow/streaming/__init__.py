@@ -1,0 +1,4 @@
+"""No stream is read or written: every input of this work is a set of files read whole.
+
+The folder only marks the place; see the README.
+"""
