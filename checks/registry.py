@@ -15,7 +15,7 @@ from platterflow.operators import (
     readiness, reports, split,
 )
 from platterflow.plans import learning, publish
-from platterflow.session import keep, shared_folder
+from platterflow.session import keep, pin, shared_folder
 from platterflow.sources import dimensions, exports
 
 # Bookings of the tables end in August 2001, so the monthly job forecasts the year after.
@@ -34,8 +34,13 @@ def _delivered(spark: SparkSession, folder: str) -> DataFrame:
     return orders.delivered_orders(cleaning.delivered_lines(T.order_lines(spark, folder, T.DELIVERED)))
 
 
-def _booked_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.booked_lines(T.order_lines(spark, folder, T.BOOKED))
+def _booked_lines(spark: SparkSession, folder: str, *reads: str) -> DataFrame:
+    unread = tuple({*T.STATIONS, "item_name"} - set(reads))
+    return cleaning.booked_lines(T.order_lines(spark, folder, T.BOOKED + reads, unread))
+
+
+def _booked_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return orders.booked_orders(_booked_lines(spark, folder, *T.STATIONS))
 
 
 def _cube(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +60,7 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _horizon(spark: SparkSession, folder: str) -> DataFrame:
-    return horizon.forecast_by_formula(keep(_panel(spark, folder)), _calendar(spark, folder))
+    return horizon.forecast_by_formula(pin(_panel(spark, folder)), _calendar(spark, folder))
 
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,17 +69,17 @@ def _daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def _daily_and_shares(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     cube = keep(_cube(spark, folder))
-    days = horizon.forecast_by_formula(keep(panel.station_days(cube)), _calendar(spark, folder))
-    shares = readiness.route_shares(keep(readiness.route_days(cube)))
+    days = horizon.forecast_by_formula(pin(panel.station_days(cube)), _calendar(spark, folder))
+    shares = readiness.route_shares(pin(readiness.route_days(cube)))
     return readiness.daily_readiness(days), shares
 
 
 def _booking_cube(spark: SparkSession, folder: str) -> DataFrame:
-    return monthly.booking_cube(orders.booked_orders(_booked_lines(spark, folder)))
+    return monthly.booking_cube(_booked_orders(spark, folder))
 
 
 def _station_months(spark: SparkSession, folder: str) -> DataFrame:
-    return monthly.station_months(keep(_booking_cube(spark, folder)))
+    return monthly.station_months(pin(_booking_cube(spark, folder)))
 
 
 def _cards(history: DataFrame) -> DataFrame:
@@ -84,13 +89,13 @@ def _cards(history: DataFrame) -> DataFrame:
 
 
 def _history_and_cards(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cube = keep(_booking_cube(spark, folder))
-    history = keep(monthly.station_months(cube))
-    return history, monthly.station_weeks(cube), keep(_cards(history))
+    cube = pin(_booking_cube(spark, folder))
+    history = pin(monthly.station_months(cube))
+    return history, monthly.station_weeks(cube), pin(_cards(history))
 
 
 def _item_weeks(spark: SparkSession, folder: str) -> DataFrame:
-    return items.item_weeks(_booked_lines(spark, folder))
+    return items.item_weeks(_booked_lines(spark, folder, *T.STATIONS, "item_name"))
 
 
 def _item_months(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +103,7 @@ def _item_months(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _item_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    lagged = item_demand.with_month_lags(keep(_item_months(spark, folder)))
+    lagged = item_demand.with_month_lags(pin(_item_months(spark, folder)))
     return item_demand.ranked_forecast(item_demand.recent_mean(item_demand.future_items(lagged)))
 
 
@@ -110,8 +115,9 @@ def _booking_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     return split.split_last_period(keep(_booking_orders(spark, folder)), F.trunc("booking_date", "MM"))
 
 
-def _dashboard_lines(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    return cleaning.dashboard_lines(T.order_lines(spark, folder, T.DASHBOARD))
+def _dashboard_lines(spark: SparkSession, folder: str, *reads: str) -> DataFrame:
+    unread = tuple({*T.STATIONS, "item_name", "outlet_name"} - set(reads))
+    return cleaning.dashboard_lines(T.order_lines(spark, folder, T.BOOKED + reads, unread))
 
 
 def _totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,7 +139,7 @@ def dedupe_orders_delivery(spark, folder):
 
 
 def dedupe_orders_booking(spark, folder):
-    return orders.booked_orders(_booked_lines(spark, folder))
+    return _booked_orders(spark, folder)
 
 
 def dedupe_orders_status_last(spark, folder):
@@ -160,7 +166,7 @@ def feature_null_audit(spark, folder):
 
 
 def chrono_split_30d(spark, folder):
-    frame = keep(panel.complete_days(_features(spark, folder)))
+    frame = pin(panel.complete_days(_features(spark, folder)))
     train, test = split.split_last_days(frame)
     parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return parts.groupBy("part").agg(
@@ -169,14 +175,14 @@ def chrono_split_30d(spark, folder):
 
 
 def regression_metrics(spark, folder):
-    frame = keep(panel.complete_days(_features(spark, folder)))
+    frame = pin(panel.complete_days(_features(spark, folder)))
     _, test = split.split_last_days(frame)
     return metrics.regression_metrics(test, "order_count", "rolling_7_demand")
 
 
 def holdout_mape(spark, folder):
     lagged = item_demand.with_month_lags(_item_months(spark, folder))
-    pairs = item_demand.recent_mean(keep(item_demand.training_pairs(lagged)))
+    pairs = item_demand.recent_mean(pin(item_demand.training_pairs(lagged)))
     _, test = split.split_last_period(pairs, F.col("target_month"))
     return metrics.mape(test, "next_month_quantity", "prediction").select(F.round("mape", 6).alias("mape"))
 
@@ -208,7 +214,7 @@ def station_summary(spark, folder):
 
 
 def route_shares(spark, folder):
-    return readiness.route_shares(keep(readiness.route_days(_cube(spark, folder))))
+    return readiness.route_shares(pin(readiness.route_days(_cube(spark, folder))))
 
 
 def route_forecast(spark, folder):
@@ -216,7 +222,7 @@ def route_forecast(spark, folder):
 
 
 def event_alerts(spark, folder):
-    return readiness.event_alerts(keep(_daily(spark, folder)))
+    return readiness.event_alerts(pin(_daily(spark, folder)))
 
 
 # --- monthly forecast family -------------------------------------------------------------------
@@ -234,12 +240,12 @@ def weekly_top_items(spark, folder):
 
 
 def monthly_station_forecast(spark, folder):
-    return _cards(keep(_station_months(spark, folder)))
+    return _cards(pin(_station_months(spark, folder)))
 
 
 def monthly_item_ranking(spark, folder):
     _, _, cards = _history_and_cards(spark, folder)
-    return items.item_ranking(items.month_items(keep(_item_weeks(spark, folder))), cards, FORECAST_YEAR)
+    return items.item_ranking(items.month_items(pin(_item_weeks(spark, folder))), cards, FORECAST_YEAR)
 
 
 def weekly_allocation(spark, folder):
@@ -261,15 +267,15 @@ def station_trend(spark, folder):
 
 def top_items_by_year(spark, folder):
     _, _, cards = _history_and_cards(spark, folder)
-    actual = items.month_items(keep(_item_weeks(spark, folder)))
+    actual = items.month_items(pin(_item_weeks(spark, folder)))
     return items.items_by_year(items.item_ranking(actual, cards, FORECAST_YEAR), cards, FORECAST_YEAR)
 
 
 def station_month_detail(spark, folder):
     history, weeks, cards = _history_and_cards(spark, folder)
-    units = keep(_item_weeks(spark, folder))
+    units = pin(_item_weeks(spark, folder))
     ranking = items.item_ranking(items.month_items(units), cards, FORECAST_YEAR)
-    allocation = keep(monthly.weekly_allocation(weeks, cards, FORECAST_YEAR))
+    allocation = pin(monthly.weekly_allocation(weeks, cards, FORECAST_YEAR))
     planned = items.weekly_items(items.week_items(units, FORECAST_YEAR), weeks, allocation, FORECAST_YEAR)
     return details.card_details(
         cards, monthly.station_trend(history, cards, FORECAST_YEAR),
@@ -289,7 +295,7 @@ def item_month_panel(spark, folder):
 
 
 def item_supervised(spark, folder):
-    lagged = keep(item_demand.with_month_lags(_item_months(spark, folder)))
+    lagged = pin(item_demand.with_month_lags(_item_months(spark, folder)))
     columns = ["month", "food_item", "quantity_sold", *K.ITEM_NUMBERS]
     pairs = item_demand.training_pairs(lagged).select(
         F.lit("training").alias("part"), *columns, "target_month", "next_month_quantity")
@@ -302,7 +308,7 @@ def item_forecast_ranking(spark, folder):
 
 
 def forecast_enriched(spark, folder):
-    units = keep(dashboard.item_month_units(_dashboard_lines(spark, folder)))
+    units = pin(dashboard.item_month_units(_dashboard_lines(spark, folder, "item_name")))
     return dashboard.enriched_forecast(_item_forecast(spark, folder), dashboard.item_history(units))
 
 
@@ -335,15 +341,15 @@ def rare_level_pool(spark, folder):
 
 
 def impute(spark, folder):
-    frame = keep(_features(spark, folder))
+    frame = pin(_features(spark, folder))
     texts, numbers = ["event_name"], ["lag_1_demand", "rolling_7_demand", "vendor_capacity"]
-    fills = keep(prepare.fill_values(frame, texts, numbers))
+    fills = pin(prepare.fill_values(frame, texts, numbers))
     return prepare.impute(frame, fills, texts, numbers).select("station_code", "date", *texts, *numbers)
 
 
 def auc_ap(spark, folder):
-    scored = keep(_booking_orders(spark, folder).select(
-        "cancelled", (F.col("total_quantity") * 24 + F.col("booking_hour")).alias("score")))
+    scored = _booking_orders(spark, folder).select(
+        "cancelled", (F.col("total_quantity") * 24 + F.col("booking_hour")).alias("score"))
     return metrics.binary_scores(scored, "cancelled", "score").select(
         F.round("roc_auc", 9).alias("roc_auc"), F.round("average_precision", 9).alias("average_precision"),
         "positives", "negatives")
@@ -352,7 +358,8 @@ def auc_ap(spark, folder):
 # --- dashboard, reports, sinks -----------------------------------------------------------------
 
 def station_month_top_items(spark, folder):
-    return dashboard.station_month_items(_dashboard_lines(spark, folder))
+    return dashboard.station_month_items(
+        _dashboard_lines(spark, folder, "station_name", "item_name", "outlet_name"))
 
 
 def monthly_kpis(spark, folder):
@@ -360,16 +367,16 @@ def monthly_kpis(spark, folder):
 
 
 def global_items(spark, folder):
-    return dashboard.item_history(keep(dashboard.item_month_units(_dashboard_lines(spark, folder))))
+    return dashboard.item_history(pin(dashboard.item_month_units(_dashboard_lines(spark, folder, "item_name"))))
 
 
 def state_coverage(spark, folder):
     states = dimensions.station_states(T.state_rows(spark, folder), "n_nationkey")
-    return dashboard.state_coverage(_dashboard_lines(spark, folder), states)
+    return dashboard.state_coverage(_dashboard_lines(spark, folder, "station_code"), states)
 
 
 def station_template(spark, folder):
-    return dimensions.station_template(_dashboard_lines(spark, folder))
+    return dimensions.station_template(_dashboard_lines(spark, folder, *T.STATIONS))
 
 
 def monthly_best_seller(spark, folder):
@@ -386,14 +393,14 @@ def report_summary(spark, folder):
 
 def kpi_strip(spark, folder):
     cube = keep(_cube(spark, folder))
-    days = keep(panel.station_days(cube))
-    calendar = keep(_calendar(spark, folder))
-    frame = keep(panel.complete_days(panel.daily_features(days, calendar)))
+    days = pin(panel.station_days(cube))
+    calendar = pin(_calendar(spark, folder))
+    frame = pin(panel.complete_days(panel.daily_features(days, calendar)))
     train, test = split.split_last_days(frame)
     evaluation = metrics.regression_metrics(test, "order_count", "rolling_7_demand").withColumn(
         "trainingRows", train.agg(F.count(F.lit(1))).scalar())
-    daily = keep(readiness.daily_readiness(horizon.forecast_by_formula(days, calendar)))
-    shares = readiness.route_shares(keep(readiness.route_days(cube)))
+    daily = pin(readiness.daily_readiness(horizon.forecast_by_formula(days, calendar)))
+    shares = readiness.route_shares(pin(readiness.route_days(cube)))
     return reports.kpi_strip(evaluation, readiness.station_outlook(daily),
                              readiness.route_outlook(daily, shares), readiness.event_alerts(daily))
 
@@ -415,7 +422,7 @@ def route_line(spark, folder):
 
 
 def alert_line(spark, folder):
-    return reports.alert_line(readiness.event_alerts(keep(_daily(spark, folder))))
+    return reports.alert_line(readiness.event_alerts(pin(_daily(spark, folder))))
 
 
 def monthly_demand_series(spark, folder):
@@ -439,7 +446,7 @@ def source_lineage(spark, folder):
 def published_best_sellers(spark, folder):
     """Best sellers written as CSV and as JSON records, read back and joined."""
     path = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
-    winners = keep(reports.best_sellers(_totals(spark, folder)))
+    winners = pin(reports.best_sellers(_totals(spark, folder)))
     publish.write_csv(winners, f"{path}/csv")
     publish.write_json(winners, f"{path}/json")
     records = dimensions.read_payload(spark, f"{path}/json").select("month", "top_seller", "units_sold")
@@ -455,7 +462,7 @@ def _daily_model(frame: DataFrame) -> learning.FittedModel:
 
 
 def daily_model_evaluation(spark, folder):
-    frame = keep(panel.complete_days(_features(spark, folder)))
+    frame = pin(panel.complete_days(_features(spark, folder)))
     train, test = split.split_last_days(frame)
     split.require_rows(train, test, K.MIN_DAILY_TRAINING_ROWS)
     scored = _daily_model(train).score(test)
@@ -464,13 +471,13 @@ def daily_model_evaluation(spark, folder):
 
 
 def recursive_forecast_boosted(spark, folder):
-    days, calendar = keep(_panel(spark, folder)), keep(_calendar(spark, folder))
+    days, calendar = pin(_panel(spark, folder)), pin(_calendar(spark, folder))
     model = _daily_model(panel.complete_days(panel.daily_features(days, calendar)))
     return readiness.daily_readiness(horizon.forecast_by_model(days, calendar, model))
 
 
 def monthly_station_forecast_boosted(spark, folder):
-    train = monthly.training_months(keep(_station_months(spark, folder)))
+    train = monthly.training_months(pin(_station_months(spark, folder)))
     model = learning.fit_trees(train, K.MONTHLY_CATEGORIES, K.MONTHLY_NUMBERS, "orderCount",
                                K.MONTHLY_MIN_FREQUENCY, MONTHLY_TREES)
     scored = model.score(monthly.forecast_targets(train, FORECAST_YEAR))
@@ -481,7 +488,7 @@ def monthly_station_forecast_boosted(spark, folder):
 
 
 def item_forecast_boosted(spark, folder):
-    lagged = keep(item_demand.with_month_lags(_item_months(spark, folder)))
+    lagged = pin(item_demand.with_month_lags(_item_months(spark, folder)))
     pairs = item_demand.training_pairs(lagged)
     split.require_rows(pairs, None, K.MIN_ITEM_MONTHS)
     texts, numbers = item_demand.feature_lists(pairs.columns)
@@ -500,7 +507,7 @@ def _cancellation_model(spark, folder):
 
 def cancellation_model(spark, folder):
     model, test = _cancellation_model(spark, folder)
-    scored = keep(learning.positive_probability(model.score(test)))
+    scored = learning.positive_probability(model.score(test))
     return metrics.binary_scores(scored, "cancelled", "score").select(
         test.agg(F.max(dates.month_key(F.col("booking_date")))).scalar().alias("test_month"),
         (F.col("positives") + F.col("negatives")).alias("test_orders"),

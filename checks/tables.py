@@ -12,26 +12,43 @@ from pyspark.sql import functions as F
 # The columns each job reads; joins whose columns are not asked for are left out.
 DELIVERED = ("order_id", "order_status", "delivery_date", "station_code", "station_name",
              "outlet_name", "train_no", "train_name", "amount_payable", "gross_item_amount")
-BOOKED = ("order_id", "order_status", "booking_date", "station_code", "station_name", "item_name",
-          "quantity", "amount_payable", "gross_item_amount")
-DASHBOARD = BOOKED + ("outlet_name",)
+BOOKED = ("order_id", "order_status", "booking_date", "quantity", "amount_payable", "gross_item_amount")
+STATIONS = ("station_code", "station_name")
 REPORT = ("order_id", "order_status", "created_at", "item_name", "outlet_name", "station_name", "quantity")
 BOOKING = ("order_id", "order_status", "booking_date", "eta", "station_code", "outlet_name", "food_type",
            "payment_type", "is_veg", "item_name", "quantity", "selling_price", "discount")
 DEMAND = ("order_id", "order_status", "created_at", "item_name", "quantity", "discount", "station_name",
           "railway_zone", "outlet_name", "food_type", "is_veg")
 
+# Stated, so that no job has to read a footer for them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string, value double",
+}
+
 _STATION = {"station_code", "station_name", "railway_zone"}
 _PART = {"item_name", "food_type", "is_veg"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFrame:
+def order_lines(
+    spark: SparkSession, folder: str, columns: tuple[str, ...], unread: tuple[str, ...] = (),
+) -> DataFrame:
     """The tables as typed order lines with the asked columns and `line_order`.
 
+    Columns of `unread` are named but empty: their tables are not joined.
+
     Lines and orders meet on the text key the jobs group by, so the grouping after a shuffled join
     finds the rows in place.
     """
@@ -67,7 +84,7 @@ def order_lines(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> D
         F.col("l_extendedprice").alias("gross_item_amount"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
                  "l_discount").alias("line_order"),
-    ).join(orders, "order_id")
+    )
     if wanted & _PART:
         parts = table(spark, folder, "part").select(
             "p_partkey", F.col("p_name").alias("item_name"), F.col("p_type").alias("food_type"),
@@ -78,7 +95,10 @@ def order_lines(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> D
             "s_suppkey",
             F.when(F.col("s_suppkey") % 50 == 0, "  ").otherwise(F.col("s_name")).alias("outlet_name"))
         lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-    return lines.select(*columns, "line_order")
+    lines = lines.join(orders, "order_id")
+    absent = F.lit(None).cast("string")
+    return lines.select(
+        *[F.col(c) if c in wanted else absent.alias(c) for c in columns + unread], "line_order")
 
 
 def text_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.functions import dates
 from platterflow.functions.aggregates import money_sum
-from platterflow.session import keep
+from platterflow.session import pin
 
 Formula = Callable[[Mapping[str, Column]], Column]
 
@@ -135,7 +135,7 @@ def forecast_by_model(
     """
     state = model.with_levels(_state(panel, calendar, days)).withColumn(
         "forecasts", F.array().cast("array<double>"))
-    state = keep(state)
+    state = pin(state)
     columns = state.columns
     for step in range(days):
         day = F.element_at("days", step + 1)
@@ -146,6 +146,6 @@ def forecast_by_model(
             "forecasts": F.concat("forecasts", F.array("__value")),
         }).select(*columns)
         if (step + 1) % steps_per_cut == 0:
-            state = keep(state)
+            state = pin(state)
     return _unrolled(state)
 

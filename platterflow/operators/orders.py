@@ -32,7 +32,7 @@ def dashboard_orders(lines: DataFrame) -> DataFrame:
     """Orders of `dashboard_lines`: month of the first booking, status of the last."""
     order = F.struct("booking_date", "line_order")
     return lines.groupBy("order_id").agg(
-        F.min("month").alias("month"),
+        dates.month_key(F.min("booking_date")).alias("month"),
         F.max_by("status", order).alias("status"),
         F.bool_or("is_cancelled").alias("is_cancelled"),
         order_revenue().alias("revenue"),

@@ -47,23 +47,25 @@ def balanced_sample(
     are taken.  Their limit is found from counts per hash prefix: rows under the limiting prefix
     are taken without being ordered, and only the rows that share it are ranked.
     """
-    prefixes = 1 << 16
     hashed = frame.withColumn("__hash", F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))))
     hashed = hashed.withColumn("__prefix", F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int"))
     counts = hashed.groupBy(label, "__prefix").agg(F.count(F.lit(1)).alias("n"))
-    # At most 65,536 rows per class reach this window.
-    earlier = Window.partitionBy(label).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
-    running = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     sizes = counts.groupBy(label).agg(F.sum("n").alias("size"))
     quota = sizes.agg(
         F.when(F.sum("size") > maximum, F.least(F.lit(maximum // 2), F.min("size")))
         .otherwise(F.sum("size")).cast("bigint")).scalar()
-    wanted = running.select(label, "__prefix", "n", (quota - F.col("before")).alias("room"))
-    whole = wanted.filter(F.col("room") >= F.col("n"))
-    partial = wanted.filter((F.col("room") > 0) & (F.col("room") < F.col("n")))
-    # `partial` has one row per class; `whole` at most 65,536 per class.
-    taken = hashed.join(F.broadcast(whole.select(label, "__prefix")), [label, "__prefix"], "left_semi")
-    edge = hashed.join(F.broadcast(partial.select(label, "__prefix", "room")), [label, "__prefix"])
+    # Four hex digits: at most 65,536 rows per class reach this window.
+    earlier = Window.partitionBy(label).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
+    room = quota - F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    limits = (
+        counts.withColumn("room", room).filter(F.col("room") < F.col("n"))
+        .groupBy(label).agg(F.min(F.struct("__prefix", "room")).alias("__limit"))
+    )
+    # One row per class.
+    placed = hashed.join(F.broadcast(limits), label, "left")
+    limit = F.col("__limit.__prefix")
+    inside = placed.filter(limit.isNull() | (F.col("__prefix") < limit))
     place = F.row_number().over(Window.partitionBy(label).orderBy("__hash", key))
-    ranked = edge.withColumn("__place", place).filter(F.col("__place") <= F.col("room"))
-    return taken.select(*frame.columns).unionByName(ranked.select(*frame.columns))
+    edge = (placed.filter(F.col("__prefix") == limit).withColumn("__place", place)
+            .filter(F.col("__place") <= F.col("__limit.room")))
+    return inside.select(*frame.columns).unionByName(edge.select(*frame.columns))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_kept: list[str] = []
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -31,6 +34,8 @@ def local_session(name: str, cores: str = "*", partitions: int = 8, **extra: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python call site of every expression costs more than building the plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
@@ -52,12 +57,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def keep(frame: DataFrame) -> DataFrame:
-    """Materialise a frame that several later steps read, in the shared folder.
+    """Write a frame that several later steps read as a table in the shared folder, and read it back.
 
-    The rows survive the loss of executors, and the steps behind them are not run again.
+    For frames of the size of the orders: the steps behind them are not run again, a later step
+    reads only its columns, and nothing is lost with an executor.
     """
     spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    _kept.append(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def pin(frame: DataFrame) -> DataFrame:
+    """Checkpoint a small frame, such as a table per station and day or a loop's state."""
+    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return frame.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables `keep` wrote; for the end of a job, when its results are published."""
+    jvm = spark._jvm
+    while _kept:
+        path = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
