@@ -424,7 +424,7 @@ quota AS (
   SELECT CASE WHEN SUM(n) > 5000 THEN least(2500, MIN(n)) ELSE SUM(n) END AS q
   FROM (SELECT cancelled, COUNT(*) AS n FROM k_train GROUP BY cancelled)),
 sample AS (
-  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cancelled ORDER BY md5(order_id || '|42'), order_id) AS place
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cancelled ORDER BY md5(CAST(order_id AS VARCHAR) || '|42'), order_id) AS place
     FROM k_train) WHERE place <= (SELECT q FROM quota))"""
 
 _TEXT = SQL_PREFIX + """,

@@ -236,7 +236,7 @@ def station_week_history(spark, folder):
 
 
 def weekly_top_items(spark, folder):
-    return items.week_items(_item_weeks(spark, folder), FORECAST_YEAR)
+    return items.week_items(pin(_item_weeks(spark, folder)), FORECAST_YEAR)
 
 
 def monthly_station_forecast(spark, folder):
@@ -256,7 +256,7 @@ def weekly_allocation(spark, folder):
 def weekly_item_allocation(spark, folder):
     _, weeks, cards = _history_and_cards(spark, folder)
     allocation = monthly.weekly_allocation(weeks, cards, FORECAST_YEAR)
-    ranked = items.week_items(_item_weeks(spark, folder), FORECAST_YEAR)
+    ranked = items.week_items(pin(_item_weeks(spark, folder)), FORECAST_YEAR)
     return items.weekly_items(ranked, weeks, allocation, FORECAST_YEAR)
 
 
@@ -385,7 +385,7 @@ def monthly_best_seller(spark, folder):
 
 def report_summary(spark, folder):
     record = dashboard.dashboard_record(_dashboard_lines(spark, folder))
-    summary = reports.report_summary(_totals(spark, folder))
+    summary = reports.report_summary(pin(_totals(spark, folder)))
     return record.select(
         "*", summary.select("observed_months").scalar().alias("observed_months"),
         summary.select("total_delivered_units").scalar().alias("total_delivered_units"))

@@ -49,15 +49,15 @@ def order_lines(
 
     Columns of `unread` are named but empty: their tables are not joined.
 
-    Lines and orders meet on the text key the jobs group by, so the grouping after a shuffled join
-    finds the rows in place.
+    Lines and orders meet last and on the key the jobs group by, so the grouping after a shuffled
+    join finds the rows in place.
     """
     wanted = set(columns)
     key = F.col("o_orderkey")
     hours = F.make_dt_interval(hours=(key % 24).cast("int"))
     booked = F.col("o_orderdate") + hours
     orders = table(spark, folder, "orders").select(
-        key.cast("string").alias("order_id"), "o_custkey",
+        key.alias("order_id"), "o_custkey",
         F.when(F.col("o_orderstatus") == "F", "Delivered")
         .when(F.col("o_orderstatus") == "P", "Partially Delivered")
         .otherwise("Cancelled by customer").alias("order_status"),
@@ -78,7 +78,7 @@ def order_lines(
         customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("order_id"), "l_partkey", "l_suppkey",
+        F.col("l_orderkey").alias("order_id"), "l_partkey", "l_suppkey",
         F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"),
         F.col("l_extendedprice").alias("selling_price"),
         F.col("l_extendedprice").alias("gross_item_amount"),
@@ -153,7 +153,7 @@ def state_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL_PREFIX = """
 WITH lines AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+  SELECT o_orderkey AS order_id,
     CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'P' THEN 'Partially Delivered'
       ELSE 'Cancelled by customer' END AS order_status,
     o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS booking_date,

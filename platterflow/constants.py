@@ -35,15 +35,16 @@ CALENDAR_DEFAULTS = {"event_name": "Known calendar event", "event_type": "Holida
 CALENDAR_FLAGS = ("festival_flag", "holiday_flag", "local_event_flag")
 CALENDAR_COLUMNS = ("date", "event_name", "event_type") + CALENDAR_FLAGS
 
-# --- fixed values: date formats tried after the ISO forms, month first -----------------------
+# --- fixed values: date formats tried after the ISO forms, month first ------------------------
+# Each format goes with the shape of the cells it can read, '-' and '.' read as '/'.
 DATE_FORMATS = (
-    "M/d/yyyy[ H:mm[:ss[.SSS]]]",
-    "M/d/yyyy h:mm[:ss] a",
-    "d/M/yyyy[ H:mm[:ss[.SSS]]]",
-    "yyyy/M/d[ H:mm[:ss[.SSS]]]",
-    "d/MMM/yyyy[ H:mm[:ss]]",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "MMM d, yyyy[ H:mm[:ss]]",
+    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4}( \d{1,2}:\d{2}(:\d{2}(/\d{3})?)?)?$", "M/d/yyyy[ H:mm[:ss[/SSS]]]"),
+    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})? [AP]M$", "M/d/yyyy h:mm[:ss] a"),
+    (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4}( \d{1,2}:\d{2}(:\d{2}(/\d{3})?)?)?$", "d/M/yyyy[ H:mm[:ss[/SSS]]]"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}( \d{1,2}:\d{2}(:\d{2}(/\d{3})?)?)?$", "yyyy/M/d[ H:mm[:ss[/SSS]]]"),
+    (r"^\d{1,2}/[A-Za-z]{3}/\d{4}( \d{1,2}:\d{2}(:\d{2})?)?$", "d/MMM/yyyy[ H:mm[:ss]]"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}( \d{1,2}:\d{2}(:\d{2})?)?$", "d MMM yyyy[ H:mm[:ss]]"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}( \d{1,2}:\d{2}(:\d{2})?)?$", "MMM d, yyyy[ H:mm[:ss]]"),
 )
 
 # --- fixed values: daily station forecast ----------------------------------------------------

@@ -34,11 +34,13 @@ def instant(cell: Column, dtype: str = "string") -> Column:
         return cell.cast("timestamp_ntz")
     trimmed = F.btrim(cell)
     slashed = F.translate(trimmed, "-.", "//")
-    candidates = [trimmed.try_cast("timestamp_ntz")]
-    for pattern in K.DATE_FORMATS:
-        source = slashed if "/" in pattern else trimmed
-        candidates.append(F.try_to_timestamp(source, F.lit(pattern)).cast("timestamp_ntz"))
-    return F.coalesce(*candidates)
+    other = None
+    for shape, pattern in K.DATE_FORMATS:
+        # The shape is tested first: a failed parse costs far more than a failed match.
+        parsed = F.try_to_timestamp(slashed, F.lit(pattern)).cast("timestamp_ntz")
+        hit = slashed.rlike(shape)
+        other = F.when(hit, parsed) if other is None else other.when(hit, parsed)
+    return F.coalesce(trimmed.try_cast("timestamp_ntz"), other)
 
 
 def flag(cell: Column, dtype: str = "string") -> Column:

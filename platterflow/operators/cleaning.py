@@ -38,9 +38,6 @@ class _Cells:
     def instant(self, name: str) -> Column:
         return coerce.instant(F.col(name), self.types[name]).alias(name)
 
-    def order_id(self) -> Column:
-        return F.col("order_id").cast("string").alias("order_id")
-
 
 def delivered_lines(lines: DataFrame) -> DataFrame:
     """Fulfilled lines with a delivery date, for the daily forecast."""
@@ -48,7 +45,7 @@ def delivered_lines(lines: DataFrame) -> DataFrame:
     return (
         lines.filter(coerce.is_fulfilled(F.col("order_status")))
         .select(
-            cell.order_id(),
+            "order_id",
             cell.instant("delivery_date").cast("date").alias("date"),
             cell.text("station_code"), cell.text("station_name"), cell.text("outlet_name"),
             cell.text("train_no"), cell.text("train_name"),
@@ -64,7 +61,7 @@ def booked_lines(lines: DataFrame) -> DataFrame:
     cell = _Cells(lines)
     return (
         lines.select(
-            cell.order_id(), cell.instant("booking_date"),
+            "order_id", cell.instant("booking_date"),
             cell.text("station_code"), cell.text("station_name"), cell.text("item_name"),
             cell.text("order_status"), cell.number_or_zero("quantity"),
             cell.number("amount_payable"), cell.number_or_zero("gross_item_amount"),
@@ -87,7 +84,7 @@ def dashboard_lines(lines: DataFrame, code_fallback: str = K.FALLBACK_TEXT["stat
     cell = _Cells(lines)
     return (
         lines.select(
-            cell.order_id(), cell.instant("booking_date"),
+            "order_id", cell.instant("booking_date"),
             cell.text("station_code", code_fallback),
             cell.text("station_name").alias("station"),
             cell.text("item_name").alias("item"),
@@ -124,7 +121,7 @@ def booking_lines(lines: DataFrame) -> DataFrame:
     cell = _Cells(lines)
     return (
         lines.select(
-            cell.order_id(), cell.instant("booking_date"), cell.instant("eta"),
+            "order_id", cell.instant("booking_date"), cell.instant("eta"),
             coerce.is_cancelled(F.col("order_status")).alias("cancelled"),
             *[F.col(c).cast("string").alias(c) for c in K.CANCELLATION_CATEGORIES],
             F.col("item_name"),

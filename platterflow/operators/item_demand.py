@@ -11,6 +11,7 @@ from platterflow.functions.aggregates import units_sum
 from platterflow.operators.cleaning import line_order
 from platterflow.operators.ordering import global_rank
 from platterflow.operators.split import latest
+from platterflow.session import keep
 
 
 def adapt_schema(raw: DataFrame) -> DataFrame:
@@ -38,25 +39,34 @@ def adapt_schema(raw: DataFrame) -> DataFrame:
 def item_months(demand: DataFrame) -> DataFrame:
     """One row per observed month and item, with the optional columns the input has.
 
-    Rows are first combined per vendor, city and region, so the distinct counts expand the
-    combined rows and not the lines.
+    Rows are first combined per vendor, city and region and written once.  The distinct counts and
+    the last values are then taken from that table separately: counting several columns repeats
+    its rows, and only the narrow keys are repeated that way.
     """
     present = [c for c in K.ITEM_OPTIONAL_CATEGORIES + K.ITEM_OPTIONAL_NUMBERS + K.ITEM_EXTRA_LAST
                if c in demand.columns]
     distinct = {"outlet_name": "vendor_availability", "city": "city_coverage", "region": "region_coverage"}
     distinct = {c: name for c, name in distinct.items() if c in demand.columns}
     lasts = [c for c in present if c not in distinct.values()]
-    newest = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct("line_order", F.col(c).alias("value")))).alias(f"__{c}")
-        for c in lasts
-    ]
-    combined = demand.groupBy("month", "food_item", *distinct).agg(
-        units_sum(F.col("quantity_sold")).alias("quantity_sold"), *newest)
-    return combined.groupBy("month", "food_item").agg(
+    carried = [c for c in lasts if c not in distinct]
+    keys = ["month", "food_item"]
+
+    def newest(column: str, order: str):
+        return F.max(F.when(F.col(column).isNotNull(), F.struct(F.col(order), F.col(column).alias("value"))))
+
+    combined = demand.groupBy(*keys, *distinct).agg(
+        units_sum(F.col("quantity_sold")).alias("quantity_sold"), F.max("line_order").alias("__order"),
+        *[newest(c, "line_order").alias(f"__{c}") for c in carried])
+    if distinct:
+        combined = keep(combined)
+    monthly = combined.groupBy(*keys).agg(
         F.sum("quantity_sold").alias("quantity_sold"),
-        *[F.max(f"__{c}")["value"].alias(c) for c in lasts],
-        *[F.count_distinct(c).alias(name) for c, name in distinct.items()],
-    )
+        *[(F.max(f"__{c}") if c in carried else newest(c, "__order"))["value"].alias(c) for c in lasts])
+    if not distinct:
+        return monthly
+    counts = combined.groupBy(*keys).agg(
+        *[F.count_distinct(c).alias(name) for c, name in distinct.items()])
+    return monthly.join(counts, keys)
 
 
 def _target_parts(frame: DataFrame, target) -> DataFrame:

@@ -70,18 +70,19 @@ def items_by_year(ranking: DataFrame, cards: DataFrame, forecast_year: int = K.F
 
 def week_items(units: DataFrame, forecast_year: int = K.FORECAST_YEAR, k: int = K.ITEMS_PER_LIST) -> DataFrame:
     """Best items per station, month and week: the reference year's, or of all years together."""
+    keys = ["stationCode", "monthNumber", "weekOfMonth"]
     is_reference = F.col("year") == forecast_year - 1
-    week = Window.partitionBy("stationCode", "monthNumber", "weekOfMonth")
+    in_reference = units.filter(is_reference).select(*keys).distinct().withColumn("__has_ref", F.lit(True))
     pooled = (
-        units.groupBy("stationCode", "monthNumber", "weekOfMonth", "item").agg(
+        units.groupBy(*keys, "item").agg(
             F.sum(F.when(is_reference, F.col("units"))).alias("ref"), F.sum("units").alias("all"))
-        .withColumn("__has_ref", F.count("ref").over(week) > 0)
-        .filter(~F.col("__has_ref") | F.col("ref").isNotNull())
+        .join(in_reference, keys, "left")
+        .filter(F.col("__has_ref").isNull() | F.col("ref").isNotNull())
         .withColumn("units", F.when(F.col("__has_ref"), F.col("ref")).otherwise(F.col("all")))
     )
-    rank = F.row_number().over(week.orderBy(F.desc("units"), "item"))
-    return pooled.withColumn("rank", rank).filter(F.col("rank") <= k).select(
-        "stationCode", "monthNumber", "weekOfMonth", "rank", "item", "units")
+    best = Window.partitionBy(*keys).orderBy(F.desc("units"), "item")
+    return pooled.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
+        *keys, "rank", "item", "units")
 
 
 def weekly_items(

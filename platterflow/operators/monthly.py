@@ -133,7 +133,7 @@ def monthly_cards(
         kept.cast("bigint").alias("confidenceScore"),
         "referenceOrders", "historicalYears",
         F.bround(F.col("rate") * 100, 1).alias("averageCancellationRate"),
-    ).orderBy("month", F.desc("forecastOrders"), "stationCode")
+    )
 
 
 def station_trend(history: DataFrame, cards: DataFrame, forecast_year: int = K.FORECAST_YEAR) -> DataFrame:

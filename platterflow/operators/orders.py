@@ -40,20 +40,25 @@ def dashboard_orders(lines: DataFrame) -> DataFrame:
 
 
 def booking_features(lines: DataFrame) -> DataFrame:
-    """Orders of `booking_lines` with what is known when they are booked."""
+    """Orders of `booking_lines` with what is known when they are booked.
+
+    Distinct items are counted apart from the first values: counting them in the same aggregation
+    would shuffle every first value with its row order once per item of an order.
+    """
     order = F.struct("booking_date", "line_order")
+    items = (lines.select("order_id", "item_name").distinct()
+             .groupBy("order_id").agg(F.count("item_name").alias("item_count")))
     orders = lines.groupBy("order_id").agg(
         F.min("booking_date").alias("booking_date"),
         first_known("eta", order).alias("eta"),
         F.bool_or("cancelled").alias("cancelled"),
         *[first_known(c, order).alias(c) for c in K.CANCELLATION_CATEGORIES],
-        F.count_distinct("item_name").alias("item_count"),
         units_sum(F.col("quantity")).alias("total_quantity"),
         money_sum(F.col("selling_price")).alias("total_selling_price"),
         money_sum(F.col("discount")).alias("total_discount"),
     )
     booked = F.col("booking_date")
-    return orders.withColumns({
+    return orders.join(items, "order_id").withColumns({
         "booking_month": F.month(booked),
         "booking_day_of_week": dates.weekday(booked),
         "booking_hour": F.hour(booked),

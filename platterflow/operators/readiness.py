@@ -62,7 +62,6 @@ def station_outlook(daily: DataFrame, days: int = K.HORIZON_DAYS) -> DataFrame:
         })
         .withColumn("riskLevel", risk_level(F.col("riskSharePercent") / 100))
         .withColumn("recommendedAction", action(F.col("riskLevel"), F.col("vendorGap")))
-        .orderBy("riskLevel", F.desc("forecastOrders"), "stationCode")
     )
 
 
@@ -110,7 +109,6 @@ def route_outlook(daily: DataFrame, shares: DataFrame) -> DataFrame:
         )
         .withColumn("riskLevel", risk_level(
             F.col("revenueAtRisk") / at_least(F.col("forecastRevenue"), 1)))
-        .orderBy("stationCode", F.desc("forecastOrders"), "trainNo", "trainName")
     )
 
 
@@ -127,5 +125,5 @@ def event_alerts(daily: DataFrame) -> DataFrame:
         F.when(normal.isNotNull(), percent_change(F.col("forecastOrders"), normal))
         .alias("expectedDemandChangePercent"),
         "revenueAtRisk",
-    ).orderBy("date")
+    )
 

@@ -83,7 +83,7 @@ def run(
 def write(result: DailyForecast, output: str) -> DataFrame:
     """Write every section as JSON records; returns the run's counters."""
     for name, frame in result.sections().items():
-        publish.write_json(publish.nulls_for_nan(frame), f"{output}/{name}")
+        publish.write_section(publish.nulls_for_nan(frame), output, name)
     spark = result.daily.sparkSession
     counted = {name: spark.read.json(f"{output}/{name}").count()
                for name in ("stationForecasts", "routeForecasts")}

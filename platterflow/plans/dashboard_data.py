@@ -47,7 +47,7 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
     return {
         "metadata": metadata(dashboard.dashboard_record(cleaned), dashboard.state_coverage(cleaned, states),
                              enriched, "Boosted-tree demand trend prototype"),
-        "monthly": dashboard.monthly_kpis(orders.dashboard_orders(cleaned)).orderBy("month"),
+        "monthly": dashboard.monthly_kpis(orders.dashboard_orders(cleaned)),
         "topItems": dashboard.station_month_items(cleaned),
         "forecast": enriched,
     }
@@ -56,7 +56,7 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
 def write(sections: dict[str, DataFrame], output: str, cancellation_metrics: str | None = None) -> None:
     """Write the sections as JSON records, and pass an earlier cancellation record on."""
     for name, frame in sections.items():
-        publish.write_json(frame, f"{output}/{name}", strict=False)
+        publish.write_section(frame, output, name, strict=False)
     spark = sections["metadata"].sparkSession
     record = dimensions.read_payload(spark, cancellation_metrics) if cancellation_metrics else None
     if record is not None:

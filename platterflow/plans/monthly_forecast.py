@@ -65,9 +65,9 @@ def run(
 
 def write(result: MonthlyForecast, output: str) -> DataFrame:
     """Write the sections as JSON records; returns the run's counters."""
-    publish.write_json(result.metadata, f"{output}/metadata")
-    publish.write_json(publish.nulls_for_nan(result.cards), f"{output}/stationSummaries")
-    publish.write_json(result.details, f"{output}/stationDetails")
+    publish.write_section(result.metadata, output, "metadata")
+    publish.write_section(publish.nulls_for_nan(result.cards), output, "stationSummaries")
+    publish.write_section(result.details, output, "stationDetails")
     spark = result.cards.sparkSession
     written = spark.read.json(f"{output}/stationDetails").agg(F.count(F.lit(1))).scalar()
     counters = pin(result.cards.agg(

@@ -21,6 +21,30 @@ def nulls_for_nan(frame: DataFrame) -> DataFrame:
     return frame.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in doubles})
 
 
+# Order of the records of a published section; a minus sign stands for descending.
+SECTION_ORDER = {
+    "stationForecasts": ("riskLevel", "-forecastOrders", "stationCode"),
+    "routeForecasts": ("stationCode", "-forecastOrders", "trainNo", "trainName"),
+    "dailyForecasts": ("date", "stationCode"),
+    "eventAlerts": ("date",),
+    "stationSummaries": ("month", "-forecastOrders", "stationCode"),
+    "stationDetails": ("month", "-forecastOrders", "stationCode"),
+    "monthly": ("month",),
+    "topItems": ("month", "station", "rank"),
+}
+
+
+def in_section_order(frame: DataFrame, name: str) -> DataFrame:
+    names = SECTION_ORDER.get(name, ())
+    order = [F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in names]
+    return frame.orderBy(*order) if order else frame
+
+
+def write_section(frame: DataFrame, output: str, name: str, strict: bool = True) -> None:
+    """One section of a payload as JSON records under its name, in its published order."""
+    write_json(in_section_order(frame, name), f"{output}/{name}", strict)
+
+
 def write_json(frame: DataFrame, path: str, strict: bool = True) -> None:
     """JSON records; with `strict` a NaN or infinite number raises ValueError before the write."""
     if strict and not_finite(frame).first()["bad"]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,43 +30,61 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return paths
 
 
-def read_exports(spark: SparkSession, paths: str | Sequence[str], format: str = "csv") -> DataFrame:
+def read_exports(
+    spark: SparkSession, paths: str | Sequence[str], format: str = "csv", multi_line: bool = False,
+) -> DataFrame:
     """All lines of the files named by a glob or a list, columns matched by name.
 
     Adds `line_order` (file, split offset, row): it follows the order of the lines in the files
-    however Spark packs the splits into tasks.  Files with the same header are scanned together.
+    however Spark packs the splits into tasks.  CSV files with the same header are scanned together;
+    `multi_line` allows line breaks inside quotes, at the price of one task per file.
     """
     names = expand(spark, paths) if isinstance(paths, str) else existing(spark, paths)
     if not names:
         raise FileNotFoundError(f"No source files found for {paths}")
+    if format == "parquet":
+        lines = spark.read.option("mergeSchema", True).parquet(*names)
+        return lines.select("*", _line_order())
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for name in names:
-        by_header.setdefault(tuple(_header(spark, name, format)), []).append(name)
-    scans = [_scan(spark, group, header, format) for header, group in by_header.items()]
+    with ThreadPoolExecutor(16) as pool:
+        for name, header in zip(names, pool.map(lambda name: csv_header(spark, name), names)):
+            by_header.setdefault(header, []).append(name)
+    scans = [_scan_csv(spark, group, header, multi_line) for header, group in by_header.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _header(spark: SparkSession, name: str, format: str) -> list[str]:
-    if format == "parquet":
-        return [f"{f.name}:{f.dataType.simpleString()}" for f in spark.read.parquet(name).schema]
-    return spark.read.option("header", True).csv(name).columns
-
-
-def _scan(spark: SparkSession, names: list[str], header: Sequence[str], format: str) -> DataFrame:
-    if format == "parquet":
-        lines = spark.read.parquet(*names)
-        cells = [F.col(c) for c in lines.columns]
-    else:
-        schema = ", ".join(f"`{column}` string" for column in header)
-        lines = (spark.read.option("header", True).option("multiLine", False)
-                 .option("escape", '"').schema(schema).csv(names))
-        cells = [F.when(~F.col(c).isin(*K.MISSING_TEXT), F.col(c)).alias(c) for c in header]
-    order = F.struct(
+def csv_header(spark: SparkSession, name: str) -> tuple[str, ...]:
+    """Column names in the first line of a file.  Opens the file itself: no Spark job per file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(name)
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        first = reader.readLine()
+    finally:
+        reader.close()
+    if not first:
+        raise ValueError(f"No header in {name}")
+    return tuple(next(csv.reader([first.lstrip("\ufeff")])))
+
+
+def _line_order():
+    return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row"),
-    )
-    return lines.select(*cells, order.alias("line_order"))
+    ).alias("line_order")
+
+
+def _scan_csv(spark: SparkSession, names: list[str], header: Sequence[str], multi_line: bool) -> DataFrame:
+    schema = ", ".join(f"`{column}` string" for column in header)
+    lines = (spark.read.option("header", True).option("multiLine", multi_line)
+             .option("escape", '"').schema(schema).csv(names))
+    cells = [F.when(~F.col(c).isin(*K.MISSING_TEXT), F.col(c)).alias(c) for c in header]
+    return lines.select(*cells, _line_order())
 
 
 def source_files(lines: DataFrame) -> DataFrame:

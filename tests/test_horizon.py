@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from platterflow import constants as K
 from platterflow.operators import horizon, readiness
+from platterflow.plans import publish
 from platterflow.sources import dimensions
 from tests.test_panel import PANEL, calendar, day, make
 
@@ -92,7 +93,7 @@ def test_readiness_rows(spark):
 
 def test_summary_sorts_by_risk_then_volume(spark):
     frame = daily(spark, row("calm", 1, 10.0), row("big", 1, 40.0), row("bigger", 1, 80.0))
-    got = readiness.station_outlook(frame, days=1).collect()
+    got = publish.in_section_order(readiness.station_outlook(frame, days=1), "stationForecasts").collect()
     assert [r.stationCode for r in got] == ["bigger", "big", "calm"]
     assert got[2].recommendedAction == K.CALM_ACTION and "vendor(s)" in got[0].recommendedAction
     assert got[0].demandUpliftPercent == 700.0
@@ -122,7 +123,7 @@ def test_routes_spread_the_station_forecast(spark):
     frame = daily(spark, row("A", 1, 10.0), row("A", 2, 30.0))
     shares = spark.createDataFrame([("A", "1", "One", 6, 0.6), ("A", "2", "Two", 3, 0.3), ("Z", "9", "Z", 2, 1.0)],
                                    "station_code string, train_no string, train_name string, recentOrders bigint, routeShare double")
-    got = readiness.route_outlook(frame, shares).collect()
+    got = publish.in_section_order(readiness.route_outlook(frame, shares), "routeForecasts").collect()
     assert [(r.trainNo, r.forecastOrders, r.forecastRevenue, r.routeSharePercent) for r in got] == [
         ("1", 24, 1200, 60.0), ("2", 12, 600, 30.0)]
 
