@@ -120,6 +120,10 @@ def _dashboard_lines(spark: SparkSession, folder: str, *reads: str) -> DataFrame
     return cleaning.dashboard_lines(T.order_lines(spark, folder, T.BOOKED + reads, unread))
 
 
+def _line_cube(spark: SparkSession, folder: str, *reads: str) -> DataFrame:
+    return dashboard.line_cube(_dashboard_lines(spark, folder, *reads))
+
+
 def _totals(spark: SparkSession, folder: str) -> DataFrame:
     return reports.month_item_totals(cleaning.report_lines(T.order_lines(spark, folder, T.REPORT)))
 
@@ -308,7 +312,7 @@ def item_forecast_ranking(spark, folder):
 
 
 def forecast_enriched(spark, folder):
-    units = pin(dashboard.item_month_units(_dashboard_lines(spark, folder, "item_name")))
+    units = pin(dashboard.item_month_units(_line_cube(spark, folder, "item_name")))
     return dashboard.enriched_forecast(_item_forecast(spark, folder), dashboard.item_history(units))
 
 
@@ -359,7 +363,7 @@ def auc_ap(spark, folder):
 
 def station_month_top_items(spark, folder):
     return dashboard.station_month_items(
-        _dashboard_lines(spark, folder, "station_name", "item_name", "outlet_name"))
+        _line_cube(spark, folder, "station_name", "item_name", "outlet_name"))
 
 
 def monthly_kpis(spark, folder):
@@ -367,12 +371,12 @@ def monthly_kpis(spark, folder):
 
 
 def global_items(spark, folder):
-    return dashboard.item_history(pin(dashboard.item_month_units(_dashboard_lines(spark, folder, "item_name"))))
+    return dashboard.item_history(pin(dashboard.item_month_units(_line_cube(spark, folder, "item_name"))))
 
 
 def state_coverage(spark, folder):
     states = dimensions.station_states(T.state_rows(spark, folder), "n_nationkey")
-    return dashboard.state_coverage(_dashboard_lines(spark, folder, "station_code"), states)
+    return dashboard.state_coverage(_line_cube(spark, folder, "station_code"), states)
 
 
 def station_template(spark, folder):
@@ -384,7 +388,7 @@ def monthly_best_seller(spark, folder):
 
 
 def report_summary(spark, folder):
-    record = dashboard.dashboard_record(_dashboard_lines(spark, folder))
+    record = dashboard.dashboard_record(_line_cube(spark, folder))
     summary = reports.report_summary(pin(_totals(spark, folder)))
     return record.select(
         "*", summary.select("observed_months").scalar().alias("observed_months"),

@@ -10,12 +10,21 @@ from platterflow.functions.aggregates import money_sum, rows, units_sum
 from platterflow.functions.scores import grouped_digits
 
 
-def station_month_items(lines: DataFrame, k: int = K.ITEMS_PER_LIST) -> DataFrame:
+def line_cube(lines: DataFrame) -> DataFrame:
+    """Lines and units per month, station, item, vendor and state of the order.
+
+    All item, coverage and availability figures come from this one pass over the lines.
+    """
+    keys = ["month", "station_code", "station", "item", "outlet_name", "is_fulfilled", "is_cancelled"]
+    return lines.groupBy(*keys).agg(units_sum(F.col("quantity")).alias("units"), rows().alias("lines"))
+
+
+def station_month_items(cube: DataFrame, k: int = K.ITEMS_PER_LIST) -> DataFrame:
     """Best items per month and station by units, then by lines."""
     best = Window.partitionBy("month", "station").orderBy(F.desc("units"), F.desc("order_lines"), "item")
     return (
-        lines.filter("is_fulfilled").groupBy("month", "station", "item").agg(
-            units_sum(F.col("quantity")).alias("units"), rows().alias("order_lines"),
+        cube.filter("is_fulfilled").groupBy("month", "station", "item").agg(
+            F.sum("units").alias("units"), F.sum("lines").alias("order_lines"),
             F.count_distinct("outlet_name").alias("vendors"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
@@ -34,10 +43,9 @@ def monthly_kpis(orders: DataFrame) -> DataFrame:
     )
 
 
-def item_month_units(lines: DataFrame) -> DataFrame:
+def item_month_units(cube: DataFrame) -> DataFrame:
     """Fulfilled units per item and month: the item history and the latest month come from it."""
-    return lines.filter("is_fulfilled").groupBy("item", "month").agg(
-        units_sum(F.col("quantity")).alias("units"))
+    return cube.filter("is_fulfilled").groupBy("item", "month").agg(F.sum("units").alias("units"))
 
 
 def item_history(units: DataFrame) -> DataFrame:
@@ -76,17 +84,17 @@ def with_states(lines: DataFrame, states: DataFrame) -> DataFrame:
     return lines.join(states, "station_code", "left")
 
 
-def state_coverage(lines: DataFrame, states: DataFrame) -> DataFrame:
+def state_coverage(cube: DataFrame, states: DataFrame) -> DataFrame:
     """Share of lines whose station has a state.  Lines are counted per station before the join."""
-    per_station = lines.groupBy("station_code").agg(rows().alias("lines"))
+    per_station = cube.groupBy("station_code").agg(F.sum("lines").alias("lines"))
     mapped = F.coalesce("state", F.lit("")) != ""
     return with_states(per_station, states).agg(
         F.sum("lines").alias("lines"), F.sum(F.when(mapped, F.col("lines")).otherwise(0)).alias("mapped"),
     ).select("lines", "mapped", (F.col("mapped") / F.col("lines")).alias("state_mapping_coverage"))
 
 
-def dashboard_record(lines: DataFrame) -> DataFrame:
-    """Latest fulfilled month and whether cancelled lines exist: one row from one pass."""
-    return lines.agg(
+def dashboard_record(cube: DataFrame) -> DataFrame:
+    """Latest fulfilled month and whether cancelled lines exist, in one row."""
+    return cube.agg(
         F.max(F.when(F.col("is_fulfilled"), F.col("month"))).alias("latest_observed_month"),
         F.bool_or("is_cancelled").alias("cancellation_model_available"))

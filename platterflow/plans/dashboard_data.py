@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.operators import cleaning, dashboard, orders
 from platterflow.plans import publish
-from platterflow.session import pin, release
+from platterflow.session import keep, pin, release
 from platterflow.sources import dimensions
 from platterflow.sources.exports import expand
 
@@ -35,20 +35,24 @@ def metadata(record: DataFrame, coverage: DataFrame, forecast: DataFrame, model:
 
 
 def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback: str = K.DASHBOARD_STATION_CODE_FALLBACK):
-    """Sections of the dashboard.  The station map is written for a user to fill when absent."""
+    """Sections of the dashboard.  The station map is written for a user to fill when absent.
+
+    The lines are read twice: for the cube of lines and for the orders of the key figures.
+    """
     spark = lines.sparkSession
     cleaned = cleaning.dashboard_lines(lines, code_fallback)
+    cube = keep(dashboard.line_cube(cleaned))
     if not expand(spark, station_map):
         publish.write_missing_csv(
-            dimensions.station_template(cleaned).orderBy("station_code", "station"), station_map)
+            dimensions.station_template(cube).orderBy("station_code", "station"), station_map)
     states = dimensions.station_states(dimensions.read_station_map(spark, station_map))
-    history = pin(dashboard.item_history(pin(dashboard.item_month_units(cleaned))))
+    history = pin(dashboard.item_history(pin(dashboard.item_month_units(cube))))
     enriched = pin(dashboard.enriched_forecast(forecast, history))
     return {
-        "metadata": metadata(dashboard.dashboard_record(cleaned), dashboard.state_coverage(cleaned, states),
+        "metadata": metadata(dashboard.dashboard_record(cube), dashboard.state_coverage(cube, states),
                              enriched, "Boosted-tree demand trend prototype"),
         "monthly": dashboard.monthly_kpis(orders.dashboard_orders(cleaned)),
-        "topItems": dashboard.station_month_items(cleaned),
+        "topItems": dashboard.station_month_items(cube),
         "forecast": enriched,
     }
 

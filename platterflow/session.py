@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_kept: list[str] = []
+# Paths of the tables `keep` wrote, per session.
+_kept: dict[str, list[str]] = defaultdict(list)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -51,9 +54,12 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by the whole cluster.")
-    folder = tempfile.mkdtemp(prefix="platterflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="platterflow-")
 
 
 def keep(frame: DataFrame) -> DataFrame:
@@ -65,7 +71,7 @@ def keep(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    _kept.append(path)
+    _kept[_session_key(spark)].append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -79,8 +85,15 @@ def pin(frame: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the tables `keep` wrote; for the end of a job, when its results are published."""
+    """Delete the tables `keep` wrote in this session.
+
+    For the end of a job, when its results are published and no other job of the session runs.
+    """
     jvm = spark._jvm
-    while _kept:
-        path = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+    for name in _kept.pop(_session_key(spark), []):
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _session_key(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()

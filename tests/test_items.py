@@ -66,7 +66,8 @@ def test_missing_columns_are_named(spark):
 
 
 def dash(spark, *rows):
-    return spark.createDataFrame(list(rows), "month string, station string, station_code string, item string, outlet_name string, quantity double, is_fulfilled boolean, is_cancelled boolean")
+    lines = spark.createDataFrame(list(rows), "month string, station string, station_code string, item string, outlet_name string, quantity double, is_fulfilled boolean, is_cancelled boolean")
+    return dashboard.line_cube(lines)
 
 
 def test_station_rank_breaks_ties_by_lines_then_name(spark):
