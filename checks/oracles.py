@@ -505,6 +505,31 @@ SELECT s."stationCode", s."monthNumber", s.year, s.year = {FORECAST_YEAR} AS "is
 FROM (SELECT "stationCode", "monthNumber", CAST(y AS INTEGER) AS year
       FROM cards, range({FORECAST_YEAR - 4}, {FORECAST_YEAR + 1}) t(y)) s
   LEFT JOIN ranking r ON s."stationCode" = r."stationCode" AND s."monthNumber" = r."monthNumber" AND s.year = r.year""",
+    "detail_week_items": CARDS + "," + ALLOCATION + "," + ITEM_WEEKS + "," + WEEK_ITEMS + f"""
+SELECT a."stationCode", a.month, '{REFERENCE_YEAR} reference volume: ' || format('{{:,}}', c."referenceOrders")
+    || ' orders' AS driver, a.week, a.label, a."forecastOrders", a."predictedRevenue", i.rank, i.item,
+  {whole('i.units * a.weekly_orders / greatest(coalesce(b.ref, b.total, 0), 1)')} AS units
+FROM allocation a JOIN cards c ON a."stationCode" = c."stationCode" AND a."monthNumber" = c."monthNumber"
+  LEFT JOIN week_items i ON a."stationCode" = i."stationCode" AND a."monthNumber" = i."monthNumber"
+    AND a.week = i."weekOfMonth"
+  LEFT JOIN week_sums b ON a."stationCode" = b."stationCode" AND a."monthNumber" = b."monthNumber" AND a.week = b.week""",
+    "detail_trend": RANKING + f""",
+sizes AS (
+  SELECT "stationCode", "monthNumber", string_agg(CAST(n AS VARCHAR), ',' ORDER BY year) AS "listSizes" FROM (
+    SELECT s."stationCode", s."monthNumber", s.year, COUNT(r.item) AS n
+    FROM (SELECT "stationCode", "monthNumber", CAST(y AS INTEGER) AS year
+          FROM cards, range({FORECAST_YEAR - 4}, {FORECAST_YEAR + 1}) t(y)) s
+      LEFT JOIN ranking r ON s."stationCode" = r."stationCode" AND s."monthNumber" = r."monthNumber" AND s.year = r.year
+    GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT c."stationCode", c.month, z."listSizes", t.year, t.orders, t."cancelledOrders", t.revenue, t."revenueLoss",
+  t."isForecast"
+FROM cards c JOIN sizes z ON c."stationCode" = z."stationCode" AND c."monthNumber" = z."monthNumber"
+  JOIN (SELECT "stationCode", "monthNumber", year, "orderCount" AS orders, "cancelledOrders",
+          CAST(trunc(revenue) AS BIGINT) AS revenue, CAST(trunc("revenueLoss") AS BIGINT) AS "revenueLoss",
+          false AS "isForecast" FROM months WHERE year BETWEEN {FORECAST_YEAR - 4} AND {REFERENCE_YEAR}
+        UNION ALL SELECT "stationCode", "monthNumber", {FORECAST_YEAR}, "forecastOrders", "forecastCancelledOrders",
+          "predictedRevenue", "forecastRevenueLoss", true FROM cards) t
+    ON c."stationCode" = t."stationCode" AND c."monthNumber" = t."monthNumber\"""",
     "schema_adapter": DEMAND + """
 SELECT order_id, date, month, food_item, quantity_sold, city, region, promotion_active FROM demand""",
     "item_month_panel": DEMAND + " SELECT * FROM item_months",

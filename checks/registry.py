@@ -286,6 +286,26 @@ def station_month_detail(spark, folder):
         items.items_by_year(ranking, cards, FORECAST_YEAR), allocation, planned, FORECAST_YEAR)
 
 
+def detail_week_items(spark, folder):
+    """The nested records unfolded again: weeks of every card with their items."""
+    weeks = station_month_detail(spark, folder).select(
+        "stationCode", "month", F.element_at("drivers", 2).alias("driver"), F.explode("weeklyForecast").alias("w"))
+    listed = weeks.select(
+        "stationCode", "month", "driver", "w.week", "w.label", "w.forecastOrders", "w.predictedRevenue",
+        F.explode_outer("w.topItems").alias("i"))
+    return listed.select("*", "i.rank", "i.item", "i.units").drop("i")
+
+
+def detail_trend(spark, folder):
+    """The nested trend and the sizes of the item lists unfolded again."""
+    details_frame = station_month_detail(spark, folder)
+    listed = F.concat_ws(",", F.transform("topItemsByYear", lambda y: F.size(y["items"]).cast("string")))
+    return details_frame.select(
+        "stationCode", "month", listed.alias("listSizes"), F.explode("trend").alias("t")).select(
+        "stationCode", "month", "listSizes", "t.year", "t.orders", "t.cancelledOrders", "t.revenue",
+        "t.revenueLoss", "t.isForecast")
+
+
 # --- item demand -------------------------------------------------------------------------------
 
 def schema_adapter(spark, folder):
@@ -532,7 +552,7 @@ QUERIES = {
         recursive_forecast, readiness_daily, station_summary, route_shares, route_forecast, event_alerts,
         station_month_kpis, station_week_history, weekly_top_items, monthly_station_forecast,
         monthly_item_ranking, weekly_allocation, weekly_item_allocation, station_trend,
-        top_items_by_year, station_month_detail, schema_adapter, item_month_panel, item_supervised,
+        top_items_by_year, station_month_detail, detail_week_items, detail_trend, schema_adapter, item_month_panel, item_supervised,
         item_forecast_ranking, forecast_enriched, cancellation_features, balanced_sample,
         sample_class_counts, rare_level_pool, impute, auc_ap, station_month_top_items, monthly_kpis,
         global_items, state_coverage, station_template, monthly_best_seller, report_summary, kpi_strip,
