@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, packing
+from platterflow.llm import bpe, exact_dedup, packing
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -22,7 +22,19 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), BYTE_VOCABULARY)
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op3_packing)
+    f.__name__: f for f in (op2_bpe, op3_packing, op4_exact_dedup)
+}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": """
+        WITH texts AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM texts WINDOW same AS (PARTITION BY t)""",
 }
-ORACLES: dict[str, str] = {}
