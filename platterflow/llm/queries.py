@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, exact_dedup, packing
+from platterflow.llm import bpe, exact_dedup, packing, simhash
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trips(table(spark, folder, "documents"), WORD_VOCABULARY)
 
@@ -27,7 +31,7 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op3_packing, op4_exact_dedup)
+    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup)
 }
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
