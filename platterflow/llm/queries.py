@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, exact_dedup, packing, simhash
+from platterflow.llm import bpe, exact_dedup, html_text, packing, simhash, spotsigs
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -30,8 +30,16 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_texts(table(spark, folder, "pages"))
+
+
+def op8_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup)
+    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op8_spotsigs)
 }
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
