@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, exact_dedup, html_text, packing, simhash, spotsigs
+from platterflow.llm import bpe, exact_dedup, html_text, packing, quality, simhash, spotsigs
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -38,8 +38,12 @@ def op8_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, folder, "documents"))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classified(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op8_spotsigs)
+    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op8_spotsigs, op9_quality)
 }
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
