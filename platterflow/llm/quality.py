@@ -39,7 +39,9 @@ LABELLED = 20_000
 TRAINED = 16_000
 # An insult is in at least so many, and such a share, of the toxic documents of the sample, and so
 # many times as often as in others.
-LEAST_SEEN, LEAST_SHARE, ODDS = 4, 0.01, 30.0
+LEAST_SEEN, LEAST_SHARE, ODDS = 4, 0.005, 8.0
+# A document votes toxic whose distinct insults multiply to such odds.
+TOXIC_ODDS = 200.0
 INSULTS = 5_000
 BEGINNING = 5
 SLOTS = 1 << 18
@@ -51,7 +53,7 @@ COMMON = frozenset(ANCHORS)
 LABELLERS = ("symbols", "capitals", "tables", "repeats", "lines", "prose", "insults")
 
 
-def votes(text: str, words: list[str], insults: frozenset[str]) -> str:
+def votes(text: str, words: list[str], insults: dict[str, float]) -> str:
     """One letter per labeller, in the order of `LABELLERS`."""
     chunks = text.split()
     n, length = len(chunks), max(1, len(text))
@@ -62,7 +64,8 @@ def votes(text: str, words: list[str], insults: frozenset[str]) -> str:
     lines = text.split("\n")
     again = 1 - len(set(lines)) / len(lines)
     common = sum(map(COMMON.__contains__, words)) / max(1, len(words))
-    found = not insults.isdisjoint(words) or not insults.isdisjoint({w[:BEGINNING] + "-" for w in words if len(w) > BEGINNING})
+    weight = insults.get
+    evidence = sum(max(weight(w, 0.0), weight(w[:BEGINNING] + "-", 0.0)) for w in set(words))
     return "".join((
         BAD if symbols > 0.03 else NOTHING,
         BAD if n >= 5 and capitals > 0.4 else NOTHING,
@@ -70,7 +73,7 @@ def votes(text: str, words: list[str], insults: frozenset[str]) -> str:
         BAD if n >= 20 and distinct < 0.4 else GOOD if distinct > 0.5 else NOTHING,
         BAD if len(lines) >= 4 and again > 0.45 else NOTHING,
         BAD if n >= 40 and common < 0.02 else GOOD if common > 0.15 else NOTHING,
-        TOXIC if found else NOTHING))
+        TOXIC if evidence >= math.log(TOXIC_ODDS) else NOTHING))
 
 
 def _words(text: str) -> list[str]:
@@ -108,8 +111,8 @@ def label_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
     return keep(_sampled(usable, most, usable.select(F.count(F.lit(1))).scalar()))
 
 
-def learn_insults(texts: DataFrame, sample: DataFrame) -> frozenset[str]:
-    """Terms of toxic documents, the strongest `INSULTS` at most."""
+def learn_insults(texts: DataFrame, sample: DataFrame) -> dict[str, float]:
+    """Terms of toxic documents, the strongest `INSULTS` at most, with the logarithms of their odds."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: tuple[Counter, Counter] = Counter(), Counter()
@@ -136,13 +139,13 @@ def learn_insults(texts: DataFrame, sample: DataFrame) -> frozenset[str]:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
     total = counts.filter("term = '.'").first()
     if total is None:
-        return frozenset()
+        return {}
     odds = (F.col("toxic") / (total["toxic"] + 1)) / ((F.col("other") + 0.5) / (total["other"] + 1))
     strong = counts.filter((F.col("toxic") >= max(LEAST_SEEN, LEAST_SHARE * total["toxic"])) & (odds >= ODDS) & (F.col("term") != "."))
-    return frozenset(r.term for r in strong.orderBy(odds.desc(), "term").limit(INSULTS).collect())
+    return {r.term: math.log(r.odds) for r in strong.select("term", odds.alias("odds")).orderBy(F.desc("odds"), "term").limit(INSULTS).collect()}
 
 
-def voted(texts: DataFrame, insults: frozenset[str]) -> DataFrame:
+def voted(texts: DataFrame, insults: dict[str, float]) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [votes(text, _words(text), insults) for text in batch.column(1).to_pylist()]
@@ -237,7 +240,7 @@ def estimate_without_label(counts: dict[str, int], bad: dict[str, float]) -> dic
     return {p: mass[p] / total[p] for p in total}
 
 
-def _training_rows(texts: DataFrame, insults: frozenset[str], known: dict[str, float], total: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _training_rows(texts: DataFrame, insults: dict[str, float], known: dict[str, float], total: int) -> tuple[list[np.ndarray], np.ndarray]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
