@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, exact_dedup, html_text, packing, quality, simhash, spotsigs
+from platterflow.llm import bpe, exact_dedup, html_text, lm_score, packing, quality, simhash, spotsigs
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,8 +43,12 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classified(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.scored(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op8_spotsigs, op9_quality)
+    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op8_spotsigs, op9_quality, op10_lm_score)
 }
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
