@@ -37,7 +37,7 @@ from platterflow.session import keep
 
 SHINGLE = 3
 BITS = 2
-LEAF = 512
+LEAF = 128
 FAN = 8
 SEED = 42
 # Shingles hashed at a time.
@@ -64,9 +64,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(text, shingle) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[::2], pa.array(prints, pa.int64())], names=["doc_id", "digest", "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(rows, "doc_id bigint, fp bigint")
+    texts = id_and_text(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return texts.mapInArrow(rows, "doc_id bigint, digest bigint, fp bigint")
 
 
 def _children(mask: int, ways: int) -> list[int]:
@@ -196,13 +197,31 @@ def links(prints: DataFrame, bits: int = BITS, leaf: int = LEAF) -> DataFrame:
     return linked
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, fingerprint as 16 hex digits, component_id."""
+def _grouped(docs: DataFrame, shingle: int, bits: int, id_col: str, text_col: str) -> DataFrame:
+    """Per document: (doc_id, digest of its text, fp, root, component_id)."""
     printed = keep(fingerprints(docs, shingle, id_col, text_col))
     distinct = keep(printed.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct.select("fp"), bits))
     rooted = keep(distinct.join(roots, F.col("fp") == F.col("member"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = keep(rooted.join(least, "root").select("fp", "component_id"))
-    return printed.join(named, "fp").select(
+    named = keep(rooted.join(least, "root").select("fp", "root", "component_id"))
+    return printed.join(named, "fp")
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: doc_id, fingerprint as 16 hex digits, component_id."""
+    return _grouped(docs, shingle, bits, id_col, text_col).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Rows that agree in id and text are one document here. A null id is the largest.
+    """
+    grouped = keep(_grouped(docs, shingle, bits, id_col, text_col).withColumn("document", F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "digest")))
+    stays = keep(grouped.groupBy("root").agg(F.min("document").alias("stays")))
+    gone = keep(grouped.join(stays, "root").filter(F.col("document") != F.col("stays")).select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__digest"))
+    return docs.join(gone, same, "left_anti")
