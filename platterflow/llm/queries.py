@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platterflow.llm import bpe, exact_dedup, html_text, lm_score, packing, quality, simhash, spotsigs, substring_dedup
+from platterflow.llm import bpe, exact_dedup, html_text, lm_score, packing, quality, simhash, spotsigs, substring_dedup, suffix_dedup
 from platterflow.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -47,12 +47,16 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.scored(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op7_substring_dedup, op8_spotsigs, op9_quality, op10_lm_score)
+    f.__name__: f for f in (op1_simhash, op2_bpe, op3_packing, op4_exact_dedup, op5_html_text, op6_suffix_dedup, op7_substring_dedup, op8_spotsigs, op9_quality, op10_lm_score)
 }
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
