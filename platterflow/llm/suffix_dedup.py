@@ -5,8 +5,10 @@ around them, so that two documents that share `LEAST_WORDS` words retain a suffi
 the shared passage. A suffix whose first `COMPARED` words occur once in the corpus cannot lie in a
 repeated passage at that place and is left out. The others are sorted over all tasks by the words that
 follow, and each is compared with its neighbour: the match is extended to the right and to the left, as
-far as `RIGHT` and `LEFT` words, which reaches beyond the next retained suffix. The matches of a
-document are joined, and those of at least `LEAST_WORDS` words are repeated passages.
+far as `RIGHT` and `LEFT` words, which reaches beyond the next retained suffix. The neighbour matches
+furthest to the right; for the one that matches furthest to the left, suffixes that begin alike are
+sorted once more, by the words before them. The matches of a document are joined, and those of at
+least `LEAST_WORDS` words are repeated passages.
 
 The order is spread by ranges of (following words, document), so a suffix that a third of all documents
 share is dealt over tasks; the neighbours at the edges of the ranges, two suffixes each, are compared in
@@ -101,20 +103,26 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch([m for r in rows for m in matches(r[:5], r[5:])])
 
 
+def _compared_in(retained: DataFrame, order: list[str]) -> DataFrame:
+    """The matches of neighbours in an order of all suffixes."""
+    found = keep(retained.repartitionByRange(*order).sortWithinPartitions(*order).select(*SUFFIX_NAMES).mapInArrow(_neighbours, MATCH))
+    # Two rows for each range.
+    edges = found.filter("edge").select(*SUFFIX_NAMES).withColumn("begin", F.xxhash64(F.substring_index("after", " ", COMPARED)))
+    line = Window.partitionBy(F.lit(0)).orderBy(*order)
+    paired = edges.select(*SUFFIX_NAMES, *[F.lag(c).over(line).alias(f"{c}_2") for c in SUFFIX_NAMES]).filter(F.col("at_2").isNotNull())
+    return found.filter(~F.col("edge")).unionByName(paired.mapInArrow(_compared, MATCH))
+
+
 def passages(texts: DataFrame) -> DataFrame:
     """Per referenced document with repeated passages: their spans, with the documents matched there."""
     made = keep(seeds(texts, GRAM, SAMPLED, COMPARED))
     often = keep(made.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     places = keep(made.join(often, "gram").groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set("at")).alias("places")))
     retained = texts_of(texts, places).join(places, ["doc_id", "digest"]).select("doc_id", "digest", "text", "places").mapInArrow(_suffixes, SUFFIX)
-    order = ["after", "doc_id", "digest", "at"]
-    retained = keep(retained)
-    found = keep(retained.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, MATCH))
-    # Two rows for each range.
-    edges = found.filter("edge").select(*SUFFIX_NAMES)
-    line = Window.partitionBy(F.lit(0)).orderBy(*order)
-    paired = edges.select(*SUFFIX_NAMES, *[F.lag(c).over(line).alias(f"{c}_2") for c in SUFFIX_NAMES]).filter(F.col("at_2").isNotNull())
-    everything = found.filter(~F.col("edge")).unionByName(paired.mapInArrow(_compared, MATCH))
+    retained = keep(retained.withColumn("begin", F.xxhash64(F.substring_index("after", " ", COMPARED))))
+    ahead = _compared_in(retained, ["after", "doc_id", "digest", "at"])
+    back = _compared_in(retained, ["begin", "before", "doc_id", "digest", "at"])
+    everything = ahead.unionByName(back)
     spans = everything.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "end", "other_id")).alias("spans"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
