@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from checks.registry import QUERIES
-from platterflow.session import local_session
+from platterflow.session import Run, local_session
 
 HEADLINE = (
     "clean_lines", "dedupe_orders_delivery", "dedupe_orders_booking", "daily_panel", "daily_features",
@@ -27,12 +28,13 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cores = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = local_session("bench", cores, partitions=int(cores) if cores.isdigit() else 8)
+    spark = local_session("bench", tempfile.mkdtemp(prefix="bench-"), cores, partitions=int(cores) if cores.isdigit() else 8)
     seconds: dict[str, float] = {}
     for measured in (False, True):
         for name in names:
             start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            with Run(spark):
+                QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             if measured:
                 seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -38,7 +39,7 @@ def main(scale: str, *names: str) -> int:
     sql = duckdb.connect()
     for name in TABLES:
         sql.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
-    spark = local_session("compare", "8")
+    spark = local_session("compare", tempfile.mkdtemp(prefix="compare-"), "8")
     bad = 0
     for name in names or QUERIES:
         start = time.time()

@@ -439,6 +439,12 @@ cells AS (
 _AUDIT = ["station_code", "month", "day_of_week", "is_weekend", "festival_flag", "holiday_flag",
           "local_event_flag", "lag_1_demand", "rolling_7_demand", "vendor_capacity", "order_count"]
 
+_PROFILED = ("order_id", "order_status", "booking_date", "delivery_date", "station_code", "outlet_name", "item_name",
+             "amount_payable", "quantity")
+_ORDER_COLUMNS = ("order_id", "station_code", "outlet_name", "food_type", "payment_type", "is_veg", "booking_month",
+                  "booking_day_of_week", "booking_hour", "is_weekend", "eta_hour", "eta_lead_hours", "item_count",
+                  "total_quantity", "total_selling_price", "total_discount")
+
 ORACLES = {
     "clean_lines": _TEXT + f"""
 SELECT order_id, CAST(delivery_date AS DATE) AS date, station_code, station_name, outlet_name, train_no, train_name,
@@ -555,7 +561,7 @@ FROM item_forecast f LEFT JOIN item_history h ON f.food_item = h.item WHERE f.ra
         for p, t in (("train", "k_train"), ("test", "k_test"), ("sample", "sample"))),
     "rare_level_pool": BOOKING + """,
 levels AS (
-  SELECT outlet_name, CASE WHEN COUNT(*) >= (SELECT ceil(COUNT(*) / 80) FROM k_train) THEN outlet_name
+  SELECT outlet_name, CASE WHEN COUNT(*) >= 20 THEN outlet_name
     ELSE '__infrequent__' END AS outlet_level FROM k_train GROUP BY outlet_name)
 SELECT t.order_id, t.outlet_name, l.outlet_level FROM k_test t LEFT JOIN levels l USING (outlet_name)""",
     "impute": FEATURES + """,
@@ -629,6 +635,44 @@ SELECT string_agg("eventName" || ' on ' || date || ' (' || "daysUntil" || ' days
     "monthly_demand_series": PANEL + """
 SELECT strftime(date, '%Y-%m') AS month, CAST(SUM(order_count) AS BIGINT) AS order_count FROM panel GROUP BY 1""",
     "station_drilldown": HORIZON + """ SELECT * FROM daily WHERE "stationCode" = 'R1'""",
-    "source_lineage": SQL_PREFIX + " SELECT CAST(1 AS BIGINT) AS files, COUNT(*) AS lines FROM lines",
+    "source_lineage": SQL_PREFIX + """
+SELECT 'part=' || lower(substr(order_status, 1, 3)) AS part, COUNT(*) AS lines FROM lines GROUP BY 1""",
+    "csv_round_trip": SQL_PREFIX + """
+SELECT item_name || ' "' || order_status || '",' || chr(10) || 'next line' AS item_name, COUNT(*) AS lines,
+  COUNT(*) FILTER (order_status = 'Delivered') AS with_station, SUM(quantity) AS quantity
+FROM lines GROUP BY item_name, order_status""",
+    "line_profile": SQL_PREFIX + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, COUNT(*) AS rows, COUNT({c}) AS present, COUNT(*) - COUNT({c}) AS missing FROM lines" for c in _PROFILED),
+    "order_profile": BOOKING + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, COUNT(*) AS rows, COUNT({c}) AS present, COUNT(*) - COUNT({c}) AS missing FROM bookings" for c in _ORDER_COLUMNS),
+    "feature_preview": FEATURES + """
+SELECT station_code, date, order_count, segment, lag_1_demand, rolling_7_demand FROM features
+ORDER BY station_code, date LIMIT 5""",
+    "record_preview": HORIZON + """ SELECT * FROM daily ORDER BY date, "stationCode" LIMIT 5""",
+    "month_drilldown": CARDS + """ SELECT * FROM cards WHERE "stationCode" = 'R1'""",
+    "published_lookups": OUTLOOK + "," + ALERTS + LAGGED[len(SQL_PREFIX):] + """
+SELECT 'summary' AS section, "stationCode" AS key, CAST("forecastOrders" AS DOUBLE) AS value FROM outlook WHERE "stationCode" = 'R1'
+UNION ALL SELECT 'alert', CAST(date AS VARCHAR), CAST("forecastOrders" AS DOUBLE) FROM alerts
+UNION ALL SELECT 'ranking', food_item, forecast_quantity FROM item_forecast WHERE rank <= 3""",
+    "daily_model_evaluation": FEATURES + """
+SELECT COUNT(*) FILTER (date > cutoff) AS test_rows, COUNT(*) FILTER (date <= cutoff) AS training_rows, TRUE AS sound
+FROM complete, cut""",
+    "recursive_forecast_boosted": HORIZON + """
+SELECT "stationCode", COUNT(*) AS days, MIN(date) AS first_day, MAX(date) AS last_day,
+  COUNT("eventName") AS event_days, TRUE AS not_negative FROM daily GROUP BY 1""",
+    "monthly_station_forecast_boosted": CARDS + """
+SELECT "stationCode", month, "referenceOrders", "historicalYears", "averageCancellationRate", "confidenceScore",
+  TRUE AS not_negative FROM cards""",
+    "item_forecast_boosted": LAGGED + """
+SELECT forecast_month, COUNT(*) AS rows, COUNT(DISTINCT food_item) AS items, MIN(rank) AS first_rank,
+  MAX(rank) AS last_rank, TRUE AS not_negative FROM item_forecast GROUP BY forecast_month""",
+    "cancellation_model": BOOKING + """
+SELECT (SELECT strftime(m, '%Y-%m') FROM last_month) AS test_month,
+  (SELECT CASE WHEN SUM(n) > 300000 THEN COUNT(*) * least(150000, MIN(n)) ELSE SUM(n) END
+   FROM (SELECT COUNT(*) AS n FROM k_train GROUP BY cancelled)) AS training_orders,
+  COUNT(*) AS test_orders, COUNT(*) FILTER (cancelled) / COUNT(*) AS test_cancellation_rate, TRUE AS sound
+FROM k_test""",
+    "feature_importance": """
+SELECT CAST(15 AS BIGINT) AS features, CAST(15 AS BIGINT) AS known, 1.0::DOUBLE AS total, TRUE AS not_negative""",
     "published_best_sellers": TOTALS + " SELECT * FROM winners",
 }

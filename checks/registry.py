@@ -20,12 +20,10 @@ from platterflow.sources import dimensions, exports
 
 # Bookings of the tables end in August 2001, so the monthly job forecasts the year after.
 FORECAST_YEAR = 2002
-# Small ensembles keep a check short; the jobs default to the full ones.
-DAILY_TREES = K.DAILY_TREES | {"trees": 8, "depth": 4}
-MONTHLY_TREES = K.MONTHLY_TREES | {"trees": 8}
-ITEM_TREES = K.ITEM_TREES | {"trees": 8}
-CANCELLATION_TREES = K.CANCELLATION_TREES | {"trees": 8, "depth": 4}
+# The bound of the sample that the queries without a model draw; the models keep the published one.
 SAMPLE_MAXIMUM = 5_000
+PROFILED = ("order_id", "order_status", "booking_date", "delivery_date", "station_code", "outlet_name", "item_name",
+            "amount_payable", "quantity")
 
 
 # --- shared starting points --------------------------------------------------------------------
@@ -358,8 +356,8 @@ def sample_class_counts(spark, folder):
 
 def rare_level_pool(spark, folder):
     train, test = _booking_split(spark, folder)
-    frequent = train.agg(F.ceil(F.count(F.lit(1)) / 80)).first()[0]
-    levels = prepare.level_counts(train.filter(F.col("outlet_name").isNotNull()), "outlet_name", frequent)
+    known = train.filter(F.col("outlet_name").isNotNull())
+    levels = prepare.level_counts(known, "outlet_name", K.CANCELLATION_MIN_FREQUENCY)
     return prepare.pool_levels(test, levels, "outlet_name", "outlet_level").select(
         "order_id", "outlet_name", "outlet_level")
 
@@ -458,13 +456,68 @@ def station_drilldown(spark, folder):
 
 
 def source_lineage(spark, folder):
-    """Lines per file of an export that the run writes from all order lines."""
+    """Lines per part of an export that the run writes from all order lines, a folder per status."""
     path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
     lines = T.order_lines(spark, folder, T.REPORT).drop("line_order")
-    publish.write_csv(lines.coalesce(1), path)
-    read = exports.read_exports(spark, f"{path}/*.csv")
-    return exports.source_files(read).agg(
-        F.count("source_file").alias("files"), F.sum("lines").alias("lines"))
+    part = F.lower(F.substring("order_status", 1, 3))
+    lines.withColumn("part", part).write.partitionBy("part").option("header", True).option("escape", '"').csv(path)
+    read = exports.read_exports(spark, f"{path}/part=*/*.csv")
+    return exports.source_files(read, level=2).groupBy(F.col("source_file").alias("part")).agg(
+        F.sum("lines").alias("lines"))
+
+
+def csv_round_trip(spark, folder):
+    """All order lines written to CSV files of two headers, with quotes and line breaks in cells,
+    read back and counted per item."""
+    path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    lines = T.order_lines(spark, folder, T.REPORT).drop("line_order")
+    odd = F.concat("item_name", F.lit(' "'), "order_status", F.lit('",\nnext line'))
+    lines = lines.withColumn("item_name", odd)
+    in_first = F.col("order_status") == "Delivered"
+    publish.write_csv(lines.filter(in_first), f"{path}/a")
+    publish.write_csv(lines.filter(~in_first).select("quantity", "item_name", "order_id", "order_status"), f"{path}/b")
+    read = exports.read_exports(spark, f"{path}/*/*.csv")
+    return read.groupBy("item_name").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("station_name").alias("with_station"),
+        F.sum(F.col("quantity").cast("double")).alias("quantity"))
+
+
+def line_profile(spark, folder):
+    """Rows and missing values of the raw lines."""
+    return panel.null_audit(T.order_lines(spark, folder, PROFILED), PROFILED)
+
+
+def order_profile(spark, folder):
+    """Rows and missing values of the orders."""
+    columns = ["order_id", *K.CANCELLATION_CATEGORIES, *K.CANCELLATION_NUMBERS]
+    return panel.null_audit(_booking_orders(spark, folder), columns)
+
+
+def feature_preview(spark, folder):
+    """The first rows of the feature frame."""
+    return reports.preview(_features(spark, folder), ["station_code", "date"]).select(
+        "station_code", "date", "order_count", "segment", "lag_1_demand", "rolling_7_demand")
+
+
+def record_preview(spark, folder):
+    """The first published daily records."""
+    return reports.preview(_daily(spark, folder), ["date", "stationCode"])
+
+
+def month_drilldown(spark, folder):
+    """The monthly cards of one station."""
+    return reports.at_station(_cards(pin(_station_months(spark, folder))), "R1")
+
+
+def published_lookups(spark, folder):
+    """Summary, alerts and ranking of one run, looked up as the published tables are."""
+    daily = pin(_daily(spark, folder))
+    summary = reports.at_station(readiness.station_outlook(daily), "R1").select(
+        F.lit("summary").alias("section"), F.col("stationCode").alias("key"), F.col("forecastOrders").cast("double").alias("value"))
+    alerts = readiness.event_alerts(daily).select(
+        F.lit("alert"), F.col("date").cast("string"), F.col("forecastOrders").cast("double"))
+    ranking = _item_forecast(spark, folder).filter(F.col("rank") <= 3).select(F.lit("ranking"), "food_item", "forecast_quantity")
+    return summary.union(alerts).union(ranking)
 
 
 def published_best_sellers(spark, folder):
@@ -482,66 +535,91 @@ def published_best_sellers(spark, folder):
 
 def _daily_model(frame: DataFrame) -> learning.FittedModel:
     return learning.fit_trees(frame, K.DAILY_CATEGORIES, K.DAILY_NUMBERS, "order_count",
-                              K.DAILY_MIN_FREQUENCY, DAILY_TREES)
+                              K.DAILY_MIN_FREQUENCY, K.DAILY_TREES)
 
 
 def daily_model_evaluation(spark, folder):
+    """Sizes of the split the published model is tested on, and whether its errors are sound."""
     frame = pin(panel.complete_days(_features(spark, folder)))
     train, test = split.split_last_days(frame)
     split.require_rows(train, test, K.MIN_DAILY_TRAINING_ROWS)
     scored = _daily_model(train).score(test)
-    return metrics.regression_metrics(
+    errors = metrics.regression_metrics(
         scored.withColumn("prediction", F.greatest("prediction", F.lit(0.0))), "order_count", "prediction")
+    return errors.select(
+        F.col("rows").alias("test_rows"), train.agg(F.count(F.lit(1))).scalar().alias("training_rows"),
+        ((F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("sound"))
 
 
 def recursive_forecast_boosted(spark, folder):
+    """What the published model's horizon holds whatever its trees: days, events, no negative demand."""
     days, calendar = pin(_panel(spark, folder)), pin(_calendar(spark, folder))
     model = _daily_model(panel.complete_days(panel.daily_features(days, calendar)))
-    return readiness.daily_readiness(horizon.forecast_by_model(days, calendar, model))
+    daily = readiness.daily_readiness(horizon.forecast_by_model(days, calendar, model))
+    return daily.groupBy("stationCode").agg(
+        F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.count("eventName").alias("event_days"), (F.min("forecastOrders") >= 0).alias("not_negative"))
 
 
 def monthly_station_forecast_boosted(spark, folder):
+    """The fields of the published model's cards that do not depend on its trees."""
     train = monthly.training_months(pin(_station_months(spark, folder)))
     model = learning.fit_trees(train, K.MONTHLY_CATEGORIES, K.MONTHLY_NUMBERS, "orderCount",
-                               K.MONTHLY_MIN_FREQUENCY, MONTHLY_TREES)
+                               K.MONTHLY_MIN_FREQUENCY, K.MONTHLY_TREES)
     scored = model.score(monthly.forecast_targets(train, FORECAST_YEAR))
     estimates = scored.withColumn("modelOrders", F.greatest("prediction", F.lit(0.0)))
-    return monthly.monthly_cards(
+    cards = monthly.monthly_cards(
         train, estimates.select("stationCode", "stationName", "monthNumber", "yearIndex", "month", "modelOrders"),
         FORECAST_YEAR)
+    return cards.select("stationCode", "month", "referenceOrders", "historicalYears", "averageCancellationRate",
+                        "confidenceScore", (F.col("forecastOrders") >= 0).alias("not_negative"))
 
 
 def item_forecast_boosted(spark, folder):
+    """Items and ranks of the published model's forecast."""
     lagged = pin(item_demand.with_month_lags(_item_months(spark, folder)))
     pairs = item_demand.training_pairs(lagged)
     split.require_rows(pairs, None, K.MIN_ITEM_MONTHS)
     texts, numbers = item_demand.feature_lists(pairs.columns)
-    model = learning.fit_trees(pairs, texts, numbers, "next_month_quantity", K.ITEM_MIN_FREQUENCY, ITEM_TREES)
-    return item_demand.ranked_forecast(model.score(item_demand.future_items(lagged)))
+    model = learning.fit_trees(pairs, texts, numbers, "next_month_quantity", K.ITEM_MIN_FREQUENCY, K.ITEM_TREES)
+    ranked = item_demand.ranked_forecast(model.score(item_demand.future_items(lagged)))
+    return ranked.groupBy("forecast_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("food_item").alias("items"),
+        F.min("rank").cast("bigint").alias("first_rank"), F.max("rank").cast("bigint").alias("last_rank"),
+        (F.min("forecast_quantity") >= 0).alias("not_negative"))
 
 
 def _cancellation_model(spark, folder):
     train, test = _booking_split(spark, folder)
     sample = split.balanced_sample(
         train.withColumn("label", F.col("cancelled").cast("int")), "cancelled", "order_id")
+    sample = keep(sample)
     model = learning.fit_trees(sample, K.CANCELLATION_CATEGORIES, K.CANCELLATION_NUMBERS, "label",
-                               K.CANCELLATION_MIN_FREQUENCY, CANCELLATION_TREES, classify=True)
-    return model, test
+                               K.CANCELLATION_MIN_FREQUENCY, K.CANCELLATION_TREES, classify=True)
+    return model, test, sample
 
 
 def cancellation_model(spark, folder):
-    model, test = _cancellation_model(spark, folder)
+    """What the published record states of the test month, and whether the scores are sound."""
+    model, test, sample = _cancellation_model(spark, folder)
     scored = learning.positive_probability(model.score(test))
-    return metrics.binary_scores(scored, "cancelled", "score").select(
+    measures = metrics.binary_scores(scored, "cancelled", "score")
+    tested = F.col("positives") + F.col("negatives")
+    between = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("roc_auc", "average_precision")]
+    return measures.select(
         test.agg(F.max(dates.month_key(F.col("booking_date")))).scalar().alias("test_month"),
-        (F.col("positives") + F.col("negatives")).alias("test_orders"),
-        (F.col("positives") / (F.col("positives") + F.col("negatives"))).alias("test_cancellation_rate"),
-        "roc_auc", "average_precision")
+        sample.agg(F.count(F.lit(1))).scalar().alias("training_orders"),
+        tested.alias("test_orders"), (F.col("positives") / tested).alias("test_cancellation_rate"),
+        (between[0] & between[1]).alias("sound"))
 
 
 def feature_importance(spark, folder):
-    model, _ = _cancellation_model(spark, folder)
-    return model.importance(spark).limit(K.TOP_FACTORS)
+    """Features the published model knows and the sum of their importance."""
+    model, _, _ = _cancellation_model(spark, folder)
+    known = F.col("feature").isin(*K.CANCELLATION_CATEGORIES, *K.CANCELLATION_NUMBERS)
+    return model.importance(spark).agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(known).alias("known"),
+        F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("not_negative"))
 
 
 QUERIES = {
@@ -557,7 +635,8 @@ QUERIES = {
         sample_class_counts, rare_level_pool, impute, auc_ap, station_month_top_items, monthly_kpis,
         global_items, state_coverage, station_template, monthly_best_seller, report_summary, kpi_strip,
         report_stations, top_stations, top_routes, route_line, alert_line, monthly_demand_series,
-        station_drilldown, source_lineage, published_best_sellers, daily_model_evaluation,
+        station_drilldown, month_drilldown, published_lookups, line_profile, order_profile, feature_preview,
+        record_preview, csv_round_trip, source_lineage, published_best_sellers, daily_model_evaluation,
         recursive_forecast_boosted, monthly_station_forecast_boosted, item_forecast_boosted,
         cancellation_model, feature_importance,
     )

@@ -127,6 +127,28 @@ INFREQUENT = "__infrequent__"
 REPORT_STATIONS = 8
 REPORT_ROUTES = 3
 EXPLORE_STATIONS = 10
+PREVIEW_ROWS = 5
 EXPLORE_ROUTES = 15
 NO_ROUTES = "No qualifying route history."
 NO_ALERTS = "No known event in the current model window."
+
+# --- fixed values: published texts -----------------------------------------------------------
+DAILY_MODEL = "Boosted-tree daily station-demand forecast"
+ROUTE_METHOD = "Station demand forecast allocated using each station's trailing 90-day train-route order share."
+RISK_NOTE = ("Risk uses information available at booking time only; use it to prioritise review, "
+             "not automatically reject orders.")
+QUALITY_NOTE = ("Only selected production months were supplied. Forecast confidence is directional, "
+                "not production-grade.")
+CANCELLED_NOTE = ("Cancelled orders are available. A cancellation-risk model can now be trained using booking time, "
+                  "ETA lead time, station, vendor, item, price, and discount.")
+NOT_CANCELLED_NOTE = ("No cancelled orders were found in the supplied data, so cancellation-risk training "
+                      "is unavailable.")
+STATE_NOTE = "Fill the station map's state column to enable station-specific state-holiday features."
+DRIVERS = (
+    " years of same-month station history",
+    ("%d reference volume: ", " orders"),
+    ("Historical cancellation rate: ", "%"),
+    "Station code, month and historical demand are used in the boosted-tree trend estimate",
+    "Weekly forecast is allocated from the selected monthly prediction using the station's historical "
+    "same-month weekly demand share",
+)

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
+UNITS = "decimal(18,6)"
 
 
 def rows() -> Column:
@@ -34,8 +35,19 @@ def money_rollup(subtotal: Column) -> Column:
     return F.coalesce(F.sum(subtotal).cast("double"), F.lit(0.0))
 
 
+def exact_units(quantity: Column) -> Column:
+    """Decimal sum of quantities with up to six decimals, null when every quantity is missing."""
+    return F.sum(quantity.cast(UNITS))
+
+
 def units_sum(quantity: Column) -> Column:
-    return F.coalesce(F.sum(quantity), F.lit(0.0))
+    """`exact_units` as a double; 0 when every quantity is missing."""
+    return F.coalesce(exact_units(quantity).cast("double"), F.lit(0.0))
+
+
+def units_rollup(subtotal: Column) -> Column:
+    """Total of `exact_units` subtotals as a double."""
+    return F.coalesce(F.sum(subtotal).cast("double"), F.lit(0.0))
 
 
 def first_row(columns: Sequence[str], order: Column) -> Column:

@@ -32,15 +32,11 @@ def card_details(
     weeks = allocation.join(week_items, KEYS + ["week"], "left").withColumn(
         "topItems", F.coalesce("topItems", F.expr("filter(array(named_struct('rank', 0, 'item', '', 'units', 0L)), x -> false)")))
     weekly = _listed(weeks, KEYS, "week", ["week", "label", *MEASURES, "topItems"], "weeklyForecast")
+    history, reference, rate, model, weeks_rule = K.DRIVERS
     drivers = F.array(
-        F.concat("historicalYears", F.lit(" years of same-month station history")),
-        F.concat(F.lit(f"{forecast_year - 1} reference volume: "),
-                 grouped_digits(F.col("referenceOrders")), F.lit(" orders")),
-        F.concat(F.lit("Historical cancellation rate: "), "averageCancellationRate", F.lit("%")),
-        F.lit("Station code, month and historical demand are used in the boosted-tree trend estimate"),
-        F.lit("Weekly forecast is allocated from the selected monthly prediction using the station's "
-              "historical same-month weekly demand share"),
-    )
+        F.concat("historicalYears", F.lit(history)),
+        F.concat(F.lit(reference[0] % (forecast_year - 1)), grouped_digits(F.col("referenceOrders")), F.lit(reference[1])),
+        F.concat(F.lit(rate[0]), "averageCancellationRate", F.lit(rate[1])), F.lit(model), F.lit(weeks_rule))
     joined = cards.join(trends, KEYS).join(years, KEYS).join(weekly, KEYS)
     return joined.select(
         "stationCode", "stationName", "month", "forecastOrders", "predictedPercentage",

@@ -46,8 +46,8 @@ def binary_scores(frame: DataFrame, label: str, score: str) -> DataFrame:
     flagged = hits + F.col("neg_before") + F.col("neg")
     return placed.select(
         "pos", "neg",
-        (F.col("neg") * (F.col("pos_before") + F.col("pos") / 2)).alias("won"),
-        (F.col("pos") * hits / flagged).alias("gain"),
+        (F.col("neg").cast("double") * (F.col("pos_before") + F.col("pos") / 2)).alias("won"),
+        (F.col("pos").cast("double") * hits / flagged).alias("gain"),
     ).agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
         F.sum("won").alias("won"), F.sum("gain").alias("gain"),

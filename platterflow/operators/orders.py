@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from platterflow import constants as K
 from platterflow.functions import dates
-from platterflow.functions.aggregates import first_known, first_row, money_sum, order_revenue, units_sum
+from platterflow.functions.aggregates import exact_sum, exact_units, first_row, money_rollup, order_revenue, units_rollup
 
 
 def delivered_orders(lines: DataFrame) -> DataFrame:
@@ -42,23 +42,27 @@ def dashboard_orders(lines: DataFrame) -> DataFrame:
 def booking_features(lines: DataFrame) -> DataFrame:
     """Orders of `booking_lines` with what is known when they are booked.
 
-    Distinct items are counted apart from the first values: counting them in the same aggregation
-    would shuffle every first value with its row order once per item of an order.
+    Lines are combined per order and item first, so that counting items needs no second read of the
+    lines. Both steps group by the order, so one shuffle on it serves both.
     """
     order = F.struct("booking_date", "line_order")
-    items = (lines.select("order_id", "item_name").distinct()
-             .groupBy("order_id").agg(F.count("item_name").alias("item_count")))
-    orders = lines.groupBy("order_id").agg(
-        F.min("booking_date").alias("booking_date"),
-        first_known("eta", order).alias("eta"),
-        F.bool_or("cancelled").alias("cancelled"),
-        *[first_known(c, order).alias(c) for c in K.CANCELLATION_CATEGORIES],
-        units_sum(F.col("quantity")).alias("total_quantity"),
-        money_sum(F.col("selling_price")).alias("total_selling_price"),
-        money_sum(F.col("discount")).alias("total_discount"),
-    )
+
+    def earliest(column: str):
+        return F.min(F.when(F.col(column).isNotNull(), F.struct(order.alias("o"), F.col(column).alias("v"))))
+
+    firsts = ["eta", *K.CANCELLATION_CATEGORIES]
+    items = lines.repartition("order_id").groupBy("order_id", "item_name").agg(
+        F.min("booking_date").alias("booking_date"), F.bool_or("cancelled").alias("cancelled"),
+        *[earliest(c).alias(c) for c in firsts], exact_units(F.col("quantity")).alias("units"),
+        *[exact_sum(F.col(c)).alias(c) for c in ("selling_price", "discount")])
+    orders = items.groupBy("order_id").agg(
+        F.min("booking_date").alias("booking_date"), F.bool_or("cancelled").alias("cancelled"),
+        *[F.min(c)["v"].alias(c) for c in firsts], F.count("item_name").alias("item_count"),
+        units_rollup(F.col("units")).alias("total_quantity"),
+        money_rollup(F.col("selling_price")).alias("total_selling_price"),
+        money_rollup(F.col("discount")).alias("total_discount"))
     booked = F.col("booking_date")
-    return orders.join(items, "order_id").withColumns({
+    return orders.withColumns({
         "booking_month": F.month(booked),
         "booking_day_of_week": dates.weekday(booked),
         "booking_hour": F.hour(booked),

@@ -86,3 +86,8 @@ def alert_line(alerts: DataFrame) -> DataFrame:
 def at_station(frame: DataFrame, station_code: str) -> DataFrame:
     """Rows of one station of a published table."""
     return frame.filter(F.col("stationCode") == station_code)
+
+
+def preview(frame: DataFrame, order: list[str], rows_shown: int = K.PREVIEW_ROWS) -> DataFrame:
+    """The first rows of a table in a given order."""
+    return frame.orderBy(*order).limit(rows_shown)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platterflow import constants as K
+from platterflow.session import pin
 
 
 def latest(frame: DataFrame, column: str | Column) -> Column:
@@ -49,7 +50,8 @@ def balanced_sample(
     """
     hashed = frame.withColumn("__hash", F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))))
     hashed = hashed.withColumn("__prefix", F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int"))
-    counts = hashed.groupBy(label, "__prefix").agg(F.count(F.lit(1)).alias("n"))
+    # At most 65,536 rows per class: stored, so that quota and limits come from one read of the rows.
+    counts = pin(hashed.groupBy(label, "__prefix").agg(F.count(F.lit(1)).alias("n")))
     sizes = counts.groupBy(label).agg(F.sum("n").alias("size"))
     quota = sizes.agg(
         F.when(F.sum("size") > maximum, F.least(F.lit(maximum // 2), F.min("size")))

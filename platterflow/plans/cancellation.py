@@ -11,11 +11,7 @@ from platterflow import constants as K
 from platterflow.functions import dates
 from platterflow.operators import cleaning, metrics, orders, split
 from platterflow.plans import learning, publish
-from platterflow.session import keep, pin, release
-
-NOTE = ("Risk uses information available at booking time only; use it to prioritise review, "
-        "not automatically reject orders.")
-
+from platterflow.session import keep, pin
 
 @dataclass
 class CancellationRun:
@@ -43,11 +39,10 @@ def run(lines: DataFrame, maximum: int = K.MAX_TRAINING_ORDERS, trees=K.CANCELLA
         scored.agg(F.max(dates.month_key(F.col("booking_date")))).scalar().alias("test_month"),
         sample.agg(F.count(F.lit(1))).scalar().alias("training_orders"),
         tested.alias("test_orders"), (F.col("positives") / tested).alias("test_cancellation_rate"),
-        "roc_auc", "average_precision", listed.scalar().alias("factors"), F.lit(NOTE).alias("note"))
+        "roc_auc", "average_precision", listed.scalar().alias("factors"), F.lit(K.RISK_NOTE).alias("note"))
     return CancellationRun(model, pin(record), scored)
 
 
 def write(result: CancellationRun, output: str) -> None:
     result.model.save(f"{output}/model")
     publish.write_json(result.metrics, f"{output}/metrics")
-    release(result.metrics.sparkSession)

@@ -10,14 +10,9 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.operators import cleaning, horizon, metrics, orders, panel, readiness, split
 from platterflow.plans import learning, publish
-from platterflow.session import keep, pin, release
+from platterflow.session import keep, pin
 from platterflow.sources import dimensions
 
-MODEL = "Boosted-tree daily station-demand forecast"
-ROUTE_METHOD = ("Station demand forecast allocated using each station's trailing 90-day train-route "
-                "order share.")
-
-
 @dataclass
 class DailyForecast:
     """The published tables of one run."""
@@ -72,9 +67,9 @@ def run(
     daily = pin(readiness.daily_readiness(forecast))
     shares = readiness.route_shares(pin(readiness.route_days(cube)))
     metadata = daily.agg(
-        F.lit(MODEL).alias("model"), F.min("date").alias("forecastStart"),
+        F.lit(K.DAILY_MODEL).alias("model"), F.min("date").alias("forecastStart"),
         F.max("date").alias("forecastEnd"), F.lit(days).alias("forecastDays"),
-        F.lit(ROUTE_METHOD).alias("routeForecastMethod"))
+        F.lit(K.ROUTE_METHOD).alias("routeForecastMethod"))
     return DailyForecast(
         metadata, evaluation, readiness.station_outlook(daily, days), daily,
         readiness.route_outlook(daily, shares), readiness.event_alerts(daily))
@@ -92,5 +87,4 @@ def write(result: DailyForecast, output: str) -> DataFrame:
         F.lit(counted["routeForecasts"]).alias("routes"),
         F.lit(result.alerts.count()).alias("alerts"), F.struct("*").alias("evaluation"))
     counters = pin(counters)
-    release(spark)
     return counters

@@ -8,30 +8,21 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.operators import cleaning, dashboard, orders
 from platterflow.plans import publish
-from platterflow.session import keep, pin, release
+from platterflow.session import keep, pin
 from platterflow.sources import dimensions
 from platterflow.sources.exports import expand
 
-QUALITY_NOTE = ("Only selected production months were supplied. Forecast confidence is directional, "
-                "not production-grade.")
-CANCELLED_NOTE = ("Cancelled orders are available. A cancellation-risk model can be trained from booking "
-                  "time, ETA lead time, station, vendor, item, price and discount.")
-NOT_CANCELLED_NOTE = ("No cancelled orders were found in the supplied data, so cancellation-risk training "
-                      "is unavailable.")
-STATE_NOTE = "Fill the station map's state column to enable station-specific state-holiday features."
-
-
 def metadata(record: DataFrame, coverage: DataFrame, forecast: DataFrame, model: str) -> DataFrame:
     """The dashboard's record of availability, coverage and notes."""
     available = F.col("cancellation_model_available")
     return record.select(
         F.lit(model).alias("model"),
         forecast.agg(F.min("forecast_month")).scalar().alias("forecast_month"),
-        "latest_observed_month", F.lit(QUALITY_NOTE).alias("data_quality_note"),
+        "latest_observed_month", F.lit(K.QUALITY_NOTE).alias("data_quality_note"),
         "cancellation_model_available",
-        F.when(available, CANCELLED_NOTE).otherwise(NOT_CANCELLED_NOTE).alias("cancellation_note"),
+        F.when(available, K.CANCELLED_NOTE).otherwise(K.NOT_CANCELLED_NOTE).alias("cancellation_note"),
         coverage.select("state_mapping_coverage").scalar().alias("state_mapping_coverage"),
-        F.lit(STATE_NOTE).alias("state_mapping_note"))
+        F.lit(K.STATE_NOTE).alias("state_mapping_note"))
 
 
 def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback: str = K.DASHBOARD_STATION_CODE_FALLBACK):
@@ -57,12 +48,14 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
     }
 
 
-def write(sections: dict[str, DataFrame], output: str, cancellation_metrics: str | None = None) -> None:
-    """Write the sections as JSON records, and pass an earlier cancellation record on."""
+def write(sections: dict[str, DataFrame], output: str, cancellation_metrics: str | None = None) -> DataFrame:
+    """Write the sections as JSON records, and pass an earlier cancellation record on; returns the run's counters."""
     for name, frame in sections.items():
         publish.write_section(frame, output, name, strict=False)
     spark = sections["metadata"].sparkSession
     record = dimensions.read_payload(spark, cancellation_metrics) if cancellation_metrics else None
     if record is not None:
         publish.write_json(record, f"{output}/cancellationModel", strict=False)
-    release(spark)
+    counted = {name: spark.read.schema(frame.schema).json(f"{output}/{name}").count() for name, frame in sections.items()}
+    return spark.createDataFrame([(output, counted["monthly"], counted["topItems"], counted["forecast"])],
+                                 "output string, months bigint, rankings bigint, forecastItems bigint")

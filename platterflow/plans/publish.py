@@ -1,18 +1,36 @@
-"""Sinks: JSON records, CSV and Parquet tables.  Every write replaces the output as a whole."""
+"""Sinks: JSON records and CSV.  Every write replaces the output as a whole."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _bad_numbers(value: Column, kind: T.DataType) -> Column | None:
+    """Count of NaN and infinite numbers in a value of any depth; None where its type has no numbers."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce((F.isnan(value) | (F.abs(value) == float("inf"))).cast("bigint"), F.lit(0).cast("bigint"))
+    if isinstance(kind, T.StructType):
+        parts = [p for f in kind if (p := _bad_numbers(value[f.name], f.dataType)) is not None]
+        return reduce(Column.__add__, parts) if parts else None
+    if isinstance(kind, T.MapType):
+        return _bad_numbers(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.ArrayType):
+        if _bad_numbers(F.lit(None), kind.elementType) is None:
+            return None
+        total = F.aggregate(value, F.lit(0).cast("bigint"), lambda n, x: n + _bad_numbers(x, kind.elementType))
+        return F.coalesce(total, F.lit(0).cast("bigint"))
+    return None
+
+
 def not_finite(frame: DataFrame) -> DataFrame:
-    """Count of NaN and infinite cells over all double columns, nested lists left out."""
-    doubles = [f.name for f in frame.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    endless = [F.abs(F.col(c)) == float("inf") for c in doubles]
-    bad = [F.count_if(F.isnan(F.col(c)) | e) for c, e in zip(doubles, endless)]
-    return frame.agg(sum(bad, F.lit(0).cast("bigint")).alias("bad"))
+    """Count of NaN and infinite numbers in all columns, nested ones included."""
+    zero = F.lit(0).cast("bigint")
+    bad = [n for f in frame.schema if (n := _bad_numbers(F.col(f"`{f.name}`"), f.dataType)) is not None]
+    return frame.agg(F.coalesce(F.sum(reduce(Column.__add__, bad, zero)), zero).alias("bad"))
 
 
 def nulls_for_nan(frame: DataFrame) -> DataFrame:
@@ -53,13 +71,9 @@ def write_json(frame: DataFrame, path: str, strict: bool = True) -> None:
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_table(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_missing_csv(frame: DataFrame, path: str) -> None:
     """CSV for a user to edit: an output that exists already is left alone."""
-    frame.write.mode("ignore").option("header", True).csv(path)
+    frame.write.mode("ignore").option("header", True).option("escape", '"').csv(path)

@@ -1,11 +1,10 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings, and the tables a job stores to cut its lineage."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
-from collections import defaultdict
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +17,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Paths of the tables `keep` wrote, per session.
-_kept: dict[str, list[str]] = defaultdict(list)
-
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -28,8 +24,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(name: str, cores: str = "*", partitions: int = 8, **extra: str) -> SparkSession:
-    """Session for tests and the bench; a cluster job brings its own."""
+def local_session(name: str, folder: str, cores: str = "*", partitions: int = 8, **extra: str) -> SparkSession:
+    """Session for tests and the bench, storing tables in `folder`; a cluster job brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(name)
         .config("spark.ui.enabled", "false")
@@ -37,6 +33,7 @@ def local_session(name: str, cores: str = "*", partitions: int = 8, **extra: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", folder)
         # Recording the Python call site of every expression costs more than building the plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -48,52 +45,76 @@ def local_session(name: str, cores: str = "*", partitions: int = 8, **extra: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster in spark.checkpoint.dir."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    """Folder every executor can reach, named in spark.checkpoint.dir or by setCheckpointDir."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("Set spark.checkpoint.dir to a folder shared by the whole cluster.")
-    return _local_folder()
-
+    return configured
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="platterflow-")
 
+class Run:
+    """The stored tables of one job, in a folder of its own under the shared folder.
 
-def keep(frame: DataFrame) -> DataFrame:
-    """Write a frame that several later steps read as a table in the shared folder, and read it back.
+        with Run(spark):
+            result = daily_forecast.run(lines, calendar)
+            daily_forecast.write(result, "output/daily")
 
-    For frames of the size of the orders: the steps behind them are not run again, a later step
-    reads only its columns, and nothing is lost with an executor.
+    Inside, `keep` and `pin` store tables here. Closing deletes this run's tables and no others, so
+    frames made inside are read before the end.
     """
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    _kept[_session_key(spark)].append(path)
-    return spark.read.schema(frame.schema).parquet(path)
 
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+    def store(self, frame: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        frame.write.parquet(path)
+        return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Run:
+        _open.append(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _open.remove(self)
+        self.close()
 
-def pin(frame: DataFrame) -> DataFrame:
-    """Checkpoint a small frame, such as a table per station and day or a loop's state."""
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return frame.checkpoint(eager=True)
 
+# The open runs, the innermost last, and per session the run of what is stored outside of any.
+_open: list[Run] = []
+_outside: dict[str, Run] = {}
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables `keep` wrote in this session.
 
-    For the end of a job, when its results are published and no other job of the session runs.
+def _current(spark: SparkSession) -> Run:
+    key = spark._jsparkSession.sessionUUID()
+    for run in reversed(_open):
+        if run.spark._jsparkSession.sessionUUID() == key:
+            return run
+    if key not in _outside:
+        run = _outside[key] = Run(spark)
+        atexit.register(_closed_at_exit, run)
+    return _outside[key]
+
+
+def _closed_at_exit(run: Run) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone, and its files with it
+        run.close()
+
+
+def keep(frame: DataFrame) -> DataFrame:
+    """Write a frame that several later steps read as a table of the open run, and read it back.
+
+    The steps behind it are not run again, a later step reads only its columns, and nothing is lost
+    with an executor. Outside of a run, tables stay until the program ends.
     """
-    jvm = spark._jvm
-    for name in _kept.pop(_session_key(spark), []):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return _current(frame.sparkSession).store(frame)
 
 
-def _session_key(spark: SparkSession) -> str:
-    return spark._jsparkSession.sessionUUID()
+def pin(frame: DataFrame) -> DataFrame:
+    """`keep` for a small frame, such as a table per station and day or a loop's state."""
+    return keep(frame)

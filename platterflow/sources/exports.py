@@ -31,13 +31,14 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
 
 
 def read_exports(
-    spark: SparkSession, paths: str | Sequence[str], format: str = "csv", multi_line: bool = False,
+    spark: SparkSession, paths: str | Sequence[str], format: str = "csv", splittable: bool = False,
 ) -> DataFrame:
     """All lines of the files named by a glob or a list, columns matched by name.
 
     Adds `line_order` (file, split offset, row): it follows the order of the lines in the files
-    however Spark packs the splits into tasks.  CSV files with the same header are scanned together;
-    `multi_line` allows line breaks inside quotes, at the price of one task per file.
+    however Spark packs the splits into tasks.  CSV files with the same header are scanned together.
+    A quoted cell may hold line breaks, so a CSV file is one task; for files known to hold none,
+    `splittable` lets several tasks share a file.  Large exports are best written once as Parquet.
     """
     names = expand(spark, paths) if isinstance(paths, str) else existing(spark, paths)
     if not names:
@@ -49,7 +50,7 @@ def read_exports(
     with ThreadPoolExecutor(16) as pool:
         for name, header in zip(names, pool.map(lambda name: csv_header(spark, name), names)):
             by_header.setdefault(header, []).append(name)
-    scans = [_scan_csv(spark, group, header, multi_line) for header, group in by_header.items()]
+    scans = [_scan_csv(spark, group, header, not splittable) for header, group in by_header.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -87,9 +88,9 @@ def _scan_csv(spark: SparkSession, names: list[str], header: Sequence[str], mult
     return lines.select(*cells, _line_order())
 
 
-def source_files(lines: DataFrame) -> DataFrame:
-    """Lines read per source file, from the `line_order` the reader adds."""
-    name = F.element_at(F.split(F.col("line_order.file"), "/"), -1)
+def source_files(lines: DataFrame, level: int = 1) -> DataFrame:
+    """Lines read per source file, from the `line_order` the reader adds; level 2 is its folder."""
+    name = F.element_at(F.split(F.col("line_order.file"), "/"), -level)
     return lines.groupBy(name.alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -4,8 +4,8 @@ from platterflow.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", "8", partitions=8)
+def spark(tmp_path_factory):
+    session = local_session("tests", str(tmp_path_factory.mktemp("shared")), "8", partitions=8)
     yield session
     session.stop()
 
