@@ -1,0 +1,64 @@
+import hashlib
+import re
+
+import pytest
+
+from platterflow.llm import spotsigs
+from tests.llm.cases import no_documents, odd_documents
+
+
+def signatures(text):
+    words = re.sub(r"[\W_]+", " ", text.lower()).split()
+    found = set()
+    for i, word in enumerate(words):
+        if word in spotsigs.ANCHORS:
+            chain = [w for w in words[i + 1:] if w not in spotsigs.ANCHORS][:spotsigs.CHAIN]
+            found |= {" ".join([word, *chain])} if chain else set()
+    return found or {" ".join(words[i:i + 1 + spotsigs.CHAIN]) for i in range(len(words))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check(frame, rows):
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    found = {r.doc_id: r for r in frame.collect()}
+    assert len(found) == len(rows)
+    for at, (doc, text) in enumerate(ordered):
+        text, after = text or "", ordered[(at + 1) % len(ordered)][1] or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        got = found[doc]
+        assert (got.n_chars, got.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert got.near_edited == pytest.approx(jaccard(signatures(text), signatures(edited)))
+        assert got.near_next == pytest.approx(jaccard(signatures(text), signatures(after)))
+        assert len(got.fingerprint) == 8 * len(signatures(text))
+
+
+@pytest.mark.parametrize("per_cell", [8, spotsigs.ROWS])
+def test_given_documents(spark, monkeypatch, per_cell):
+    monkeypatch.setattr(spotsigs, "ROWS", per_cell)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    check(spotsigs.fingerprints(docs), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    check(spotsigs.fingerprints(docs), [(r.doc_id, r.text) for r in docs.collect()])
+    every = spotsigs.fingerprints(odd_documents(spark)).collect()
+    assert len(every) == odd_documents(spark).count()
+    twice = [r for r in every if r.doc_id == 2]
+    assert len({r.fingerprint for r in twice}) == 1 and max(r.near_next for r in twice) == 1
+    assert spotsigs.fingerprints(no_documents(spark)).collect() == []
+    alone = spotsigs.fingerprints(docs.filter("doc_id = 1")).first()
+    assert alone.near_next == 1
+
+
+def test_pruning_and_length_parts(spark):
+    frame = spark.createDataFrame([([1, 2, 3, 4], [1, 2, 3, 5]), ([1], [1, 2, 3, 4]), ([], []), ([], [1])], "a array<int>, b array<int>")
+    assert [r[0] for r in frame.select(spotsigs.likeness(frame.a, frame.b)).collect()] == [0.6, 0.25, 1.0, 0.0]
+    assert [r[0] for r in frame.select(spotsigs.likeness(frame.a, frame.b, 0.5)).collect()] == [0.6, 0.0, 1.0, 0.0]
+    sizes = spark.range(1, 200).selectExpr("id", "sequence(1, id) AS s")
+    parts = {r.id: r.p for r in sizes.select("id", spotsigs.length_part(sizes.s).alias("p")).collect()}
+    assert all(parts[b] - parts[a] <= 1 for a in parts for b in parts if a <= b and a >= 0.8 * b)
