@@ -41,6 +41,11 @@ def binary_scores(frame: DataFrame, label: str, score: str) -> DataFrame:
     hit = F.col(label).cast("boolean")
     counts = frame.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    return counted_scores(counts)
+
+
+def counted_scores(counts: DataFrame) -> DataFrame:
+    """The measures of `binary_scores` from counts (pos, neg) per distinct score, of any size."""
     placed = running_totals(counts, [F.col("score").desc()], ["pos", "neg"])
     hits = F.col("pos_before") + F.col("pos")
     flagged = hits + F.col("neg_before") + F.col("neg")

@@ -132,3 +132,12 @@ def test_small_training_sets_are_refused(spark):
         split.require_rows(frame, None, 8)
     with pytest.raises(ValueError):
         split.require_rows(frame, spark.range(0), 2)
+
+
+def test_scores_of_very_many_rows(spark):
+    counts = spark.createDataFrame([(2.0, 2 * 10**10, 10**10), (1.0, 10**10, 3 * 10**10)], "score double, pos bigint, neg bigint")
+    found = metrics.counted_scores(counts).first()
+    assert (found.positives, found.negatives) == (3 * 10**10, 4 * 10**10)
+    won = 10**10 * 10**10 + 3 * 10**10 * (2 * 10**10 + 10**10 / 2)
+    assert found.roc_auc == pytest.approx(won / (12 * 10**20))
+    assert found.average_precision == pytest.approx((2 * 2 / 3 + 1 * 3 / 7) / 3)

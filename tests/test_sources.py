@@ -84,3 +84,22 @@ def test_absent_results_read_as_nothing(spark, tmp_path):
 def test_a_line_order_is_made_up_from_all_columns(spark):
     frame = spark.createDataFrame([("b", 1), ("a", 2)], "x string, y int")
     assert [r.x for r in frame.orderBy(cleaning.line_order(frame)).collect()] == ["a", "b"]
+
+
+def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
+    write(tmp_path / "1.csv", ["order_id", "item_name"], ["1", 'two\nlines, "quoted"'], ["2", "plain"])
+    read = exports.read_exports(spark, str(tmp_path / "*.csv"))
+    assert [(r.order_id, r.item_name) for r in read.orderBy("line_order").collect()] == [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    publish.write_csv(read.drop("line_order"), str(tmp_path / "again"))
+    again = exports.read_exports(spark, str(tmp_path / "again" / "*.csv"))
+    assert {(r.order_id, r.item_name) for r in again.collect()} == {("1", 'two\nlines, "quoted"'), ("2", "plain")}
+
+
+def test_strict_json_looks_into_nested_values(spark, tmp_path):
+    nested = "array(named_struct('items', array(named_struct('units', {}))))"
+    good, bad = spark.range(1).selectExpr(f"{nested.format('1.5D')} AS years"), spark.range(1).selectExpr(f"{nested.format("double('NaN')")} AS years")
+    assert publish.not_finite(good).first().bad == 0 and publish.not_finite(bad).first().bad == 1
+    endless = spark.range(2).selectExpr("map('a', double('Infinity'), 'b', 1.0D) AS m", "named_struct('x', CAST(NULL AS DOUBLE)) AS s", "id")
+    assert publish.not_finite(endless).first().bad == 2
+    with pytest.raises(ValueError, match="NaN"):
+        publish.write_json(bad, str(tmp_path / "out"))
