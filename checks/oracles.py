@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.tables import SQL_PREFIX
+from platterflow import constants as K
 
 FULFILLED = "order_status IN ('Delivered', 'Partially Delivered')"
 CANCELLED = "lower(order_status) LIKE '%cancel%'"
@@ -536,6 +537,14 @@ FROM cards c JOIN sizes z ON c."stationCode" = z."stationCode" AND c."monthNumbe
         UNION ALL SELECT "stationCode", "monthNumber", {FORECAST_YEAR}, "forecastOrders", "forecastCancelledOrders",
           "predictedRevenue", "forecastRevenueLoss", true FROM cards) t
     ON c."stationCode" = t."stationCode" AND c."monthNumber" = t."monthNumber\"""",
+    "detail_cards": CARDS + f"""
+SELECT "stationCode", "stationName", month, "forecastOrders", "predictedPercentage", "forecastCancelledOrders",
+  "forecastRevenueLoss", "predictedRevenue", "confidenceScore", position,
+  CASE position WHEN 0 THEN "historicalYears" || ' years of same-month station history'
+    WHEN 1 THEN '{REFERENCE_YEAR} reference volume: ' || format('{{:,}}', CAST("referenceOrders" AS BIGINT)) || ' orders'
+    WHEN 2 THEN 'Historical cancellation rate: ' || "averageCancellationRate" || '%'
+    WHEN 3 THEN '{K.DRIVERS[3]}' ELSE '{K.DRIVERS[4].replace("'", "''")}' END AS driver
+FROM cards, (SELECT unnest([0, 1, 2, 3, 4]) AS position)""",
     "schema_adapter": DEMAND + """
 SELECT order_id, date, month, food_item, quantity_sold, city, region, promotion_active FROM demand""",
     "item_month_panel": DEMAND + " SELECT * FROM item_months",

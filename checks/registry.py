@@ -294,6 +294,13 @@ def detail_week_items(spark, folder):
     return listed.select("*", "i.rank", "i.item", "i.units").drop("i")
 
 
+def detail_cards(spark, folder):
+    """The fields of the nested records beside their lists, and all their drivers."""
+    return station_month_detail(spark, folder).select(
+        "stationCode", "stationName", "month", "forecastOrders", "predictedPercentage", "forecastCancelledOrders",
+        "forecastRevenueLoss", "predictedRevenue", "confidenceScore", F.posexplode("drivers").alias("position", "driver"))
+
+
 def detail_trend(spark, folder):
     """The nested trend and the sizes of the item lists unfolded again."""
     details_frame = station_month_detail(spark, folder)
@@ -630,7 +637,8 @@ QUERIES = {
         recursive_forecast, readiness_daily, station_summary, route_shares, route_forecast, event_alerts,
         station_month_kpis, station_week_history, weekly_top_items, monthly_station_forecast,
         monthly_item_ranking, weekly_allocation, weekly_item_allocation, station_trend,
-        top_items_by_year, station_month_detail, detail_week_items, detail_trend, schema_adapter, item_month_panel, item_supervised,
+        top_items_by_year, station_month_detail, detail_week_items, detail_trend, detail_cards, schema_adapter,
+        item_month_panel, item_supervised,
         item_forecast_ranking, forecast_enriched, cancellation_features, balanced_sample,
         sample_class_counts, rare_level_pool, impute, auc_ap, station_month_top_items, monthly_kpis,
         global_items, state_coverage, station_template, monthly_best_seller, report_summary, kpi_strip,
