@@ -2,8 +2,8 @@
 
 1. Insults differ by language, so they are learned: words, and beginnings of words, that are in far
    more toxic than other documents of a sample of at most `LABELLED` labelled ones.
-2. Every document gets the votes of `LABELLERS`. A labeller says bad, good, or nothing; the labels
-   of the sample vote too, as one more labeller.
+2. Every document gets the votes of `LABELLERS`. A labeller says toxic, bad, or nothing; the
+   labels of the sample vote too, as one more labeller, which also says good.
 3. The votes of all documents are counted by pattern. Expectation-maximisation over the patterns
    estimates how often each labeller gives each vote to good, toxic and junk documents, and with
    that the probability of each pattern to be bad. There are at most 3 patterns to the power of
@@ -11,7 +11,7 @@
 4. These probabilities label a sample of at most `TRAINED` documents, which trains a logistic
    scorer over hashed words, word beginnings and votes. It scores every document.
 
-Texts are read whole. Null and empty texts get no vote against them and are kept. Repeated rows are
+Texts are read whole. Null, empty and blank texts score 0 and are kept. Repeated rows are
 scored alike; null ids are never in a sample. Without labels nothing is known of insults, and the
 other labellers decide. An empty table gives no rows.
 """
@@ -45,7 +45,8 @@ TOXIC_ODDS = 200.0
 INSULTS = 5_000
 BEGINNING = 5
 SLOTS = 1 << 18
-ROUNDS, EPOCHS, RATE, BATCH, DECAY = 40, 4, 0.3, 256, 1e-6
+UNLABELLED = 0.1
+ROUNDS, EPOCHS, RATE, BATCH, DECAY = 40, 6, 0.3, 256, 1e-6
 GOOD, NOTHING, TOXIC, BAD = "g", "-", "t", "b"
 WORD = re.compile(r"[^\W\d_]+")
 COMMON = frozenset(ANCHORS)
@@ -70,9 +71,9 @@ def votes(text: str, words: list[str], insults: dict[str, float]) -> str:
         BAD if symbols > 0.03 else NOTHING,
         BAD if n >= 5 and capitals > 0.4 else NOTHING,
         BAD if tables > 0.1 else NOTHING,
-        BAD if n >= 20 and distinct < 0.4 else GOOD if distinct > 0.5 else NOTHING,
+        BAD if n >= 20 and distinct < 0.4 else NOTHING,
         BAD if len(lines) >= 4 and again > 0.45 else NOTHING,
-        BAD if n >= 40 and common < 0.02 else GOOD if common > 0.15 else NOTHING,
+        BAD if n >= 40 and common < 0.02 else NOTHING,
         TOXIC if evidence >= math.log(TOXIC_ODDS) else NOTHING))
 
 
@@ -154,17 +155,22 @@ def voted(texts: DataFrame, insults: dict[str, float]) -> DataFrame:
     return texts.mapInArrow(rows, "doc_id bigint, votes string")
 
 
-def estimate(counts: dict[str, int], rounds: int = ROUNDS) -> dict[str, float]:
+def estimate(counts: dict[str, int], labelled: bool = False, rounds: int = ROUNDS) -> dict[str, float]:
     """The probability of each pattern of votes to be a bad document's.
 
     Documents are good, toxic or junk: what is bad about the latter two has little in common, and
     votes are taken to be independent within a kind only. A pattern starts as what its last vote
-    against it says, as good where there is none.
+    against it says, as good where there is none. Where the last vote is a label, patterns without
+    one together weigh `UNLABELLED` times as much as those with one: they say little about how
+    often a labeller is wrong.
     """
     patterns = sorted(counts)
     if not patterns:
         return {}
     weight = np.array([counts[p] for p in patterns], float)
+    known = np.array([labelled and p[-1] != NOTHING for p in patterns])
+    if known.any() and not known.all():
+        weight[~known] *= min(1.0, UNLABELLED * weight[known].sum() / weight[~known].sum())
     letters = GOOD + NOTHING + TOXIC + BAD
     cast = np.array([[letters.index(v) for v in p] for p in patterns])
     kind = np.where((cast == 2).any(1), 1, np.where((cast == 3).any(1), 2, 0))
@@ -209,7 +215,7 @@ def classified(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     label = F.when(F.col("toxic") == 1, TOXIC).when(F.col("quality") == 0, BAD).when(F.col("quality") == 1, GOOD).otherwise(NOTHING)
     patterns = cast.join(F.broadcast(sample), "doc_id", "left").select(F.concat("votes", label).alias("votes"))
     counts = {r.votes: r.n for r in patterns.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad = estimate(counts)
+    bad = estimate(counts, labelled=True)
     # What a pattern says where no label is known.
     known = estimate_without_label(counts, bad)
     weights = train(*_training_rows(texts, insults, known, sum(counts.values())))
@@ -223,7 +229,8 @@ def classified(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 at = slots(pattern, words)
                 found.append(pattern)
                 margin = float(weights[at] @ scales(at, np.array([len(at)])))
-                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))))
+                # Without words there is nothing to hold against a document.
+                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))) if text.split() else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s < 0.5 for s in scores], pa.bool_()), pa.array(scores, pa.float64()), pa.array(found, pa.string()),
                  pa.array([known.get(p, 0.5) for p in found], pa.float64())], names=["doc_id", "keep", "score", "votes", "posterior"])

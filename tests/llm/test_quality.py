@@ -41,7 +41,7 @@ def test_estimation_finds_the_accuracies():
 def test_scorer_separates():
     r = np.random.default_rng(1)
     rows, labels = [], []
-    for i in range(400):
+    for i in range(4000):
         bad = i % 2
         index = np.r_[r.integers(0, 500, 20), 600 + bad].astype(np.int32)
         rows.append(index)
