@@ -24,6 +24,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# Rows of a few numbers that may be broadcast; larger tables are joined by a shuffle.
+BROADCAST_ROWS = 400_000
+
+
+def small_side(stored: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table, to be broadcast if it has few rows, so that texts need not move to meet it."""
+    count = stored.count() if rows is None else rows
+    return F.broadcast(stored) if count <= BROADCAST_ROWS else stored
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators read, a null text as the empty one; other columns stay behind."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),

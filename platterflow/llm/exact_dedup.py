@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platterflow.llm.common import ascii_lower, id_and_text
+from platterflow.llm.common import ascii_lower, id_and_text, small_side
 from platterflow.session import keep
 
 BLOCK = 1024
@@ -102,6 +102,6 @@ def without_copies(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id",
     marks = keep(dropped.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.max(itself).alias("__again")))
     sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)
     same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha"))
-    marked = docs.withColumn("__of", sha).join(marks, same, "left")
+    marked = docs.withColumn("__of", sha).join(small_side(marks), same, "left")
     again = marked.filter("__again").groupBy("__id", "__sha").agg(F.min(F.struct(*docs.columns)).alias("__row"))
     return marked.filter(F.col("__again").isNull()).select(*docs.columns).unionByName(again.select("__row.*"))

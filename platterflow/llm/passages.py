@@ -14,11 +14,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from platterflow.llm.common import id_and_text
+from platterflow.llm.common import id_and_text, small_side
 from platterflow.session import keep
 
-# References that may be broadcast: 16 bytes each.
-BROADCAST_ROWS = 400_000
 WORD = re.compile("[^\\x20\\x09-\\x0d]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 NULL_ID = -(1 << 63)
@@ -145,8 +143,7 @@ def seed_pairs(made: DataFrame) -> DataFrame:
 def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of the references in `wanted`, stored; whole texts travel only for these."""
     wanted = keep(wanted.select("doc_id", "digest").distinct())
-    few = wanted.count() <= BROADCAST_ROWS
-    return keep(texts.join(F.broadcast(wanted) if few else wanted, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]))
+    return keep(texts.join(small_side(wanted), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

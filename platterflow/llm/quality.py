@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platterflow.llm.common import id_and_text
+from platterflow.llm.common import id_and_text, small_side
 from platterflow.llm.spotsigs import ANCHORS
 from platterflow.session import keep
 
@@ -267,4 +267,4 @@ def _training_rows(texts: DataFrame, insults: dict[str, float], known: dict[str,
 def without_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, with all their columns. Rows of one id are rejected together."""
     rejected = keep(classified(docs, labels, id_col, text_col).filter("NOT keep").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(rejected, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    return docs.join(small_side(rejected), F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")

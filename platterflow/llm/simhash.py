@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platterflow.llm.common import id_and_text
+from platterflow.llm.common import id_and_text, small_side
 from platterflow.llm.components import components
 from platterflow.session import keep
 
@@ -224,4 +224,4 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_co
     gone = keep(grouped.join(stays, "root").filter(F.col("document") != F.col("stays")).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
     same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__digest"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(small_side(gone), same, "left_anti")
