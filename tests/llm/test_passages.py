@@ -84,6 +84,16 @@ def test_edited_documents_keep_their_columns(spark):
     assert substring_dedup.without_repeats(no_documents(spark)).collect() == []
 
 
+@pytest.mark.parametrize("gaps", [(0, 0), (29, 29), (40, 40), (120, 120), (160, 160), (0, 70)])
+def test_two_passages_of_one_pair(spark, gaps):
+    r = random.Random(7)
+    one, two = fresh(r, 60), fresh(r, 60)
+    texts = [one + fresh(r, gap) + two for gap in gaps]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    got = covered(substring_dedup.repeated_passages(docs).collect())
+    assert got[1] >= set(range(60)) | set(range(60 + gaps[1], 120 + gaps[1]))
+
+
 def best_chain(found, gap):
     """Brute force over all orders."""
     score = []
