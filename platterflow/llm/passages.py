@@ -46,6 +46,15 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return total * MIX
 
 
+def unsteady(grams: np.ndarray, longest: int) -> np.ndarray:
+    """Positions without those of a run that repeats every few words, from its third period on."""
+    again = np.zeros(len(grams), bool)
+    for period in range(1, min(longest, (len(grams) - 1) // 2) + 1):
+        same = grams[period:] == grams[:-period]
+        again[2 * period:] |= same[period:] & same[:-period]
+    return np.flatnonzero(~again)
+
+
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions that hold the smallest hash of some window; of a shorter text, its smallest."""
     if len(grams) <= window:
@@ -56,7 +65,7 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
 
 def seeds(texts: DataFrame, size: int, window: int, compared: int | None = None) -> DataFrame:
     """Minimiser positions: (gram, doc_id, digest, at). `gram` hashes `compared` words (`size` if
-    none are given) from there. Of equal grams in a document the first counts."""
+    none are given) from there. A gram that a document has several times is a seed at each place."""
     longer = compared or size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,10 +76,9 @@ def seeds(texts: DataFrame, size: int, window: int, compared: int | None = None)
                 at = minimisers(gram_hashes(hashes, size), window)
                 found = gram_hashes(hashes, longer)
                 at = at[at < len(found)]
-                found, first = np.unique(found[at], return_index=True)
-                grams.append(found)
-                places.append(at[first])
-                sizes.append(len(first))
+                grams.append(found[at])
+                places.append(at)
+                sizes.append(len(at))
             picked = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(grams).view(np.int64)), batch.column(0).take(picked), batch.column(1).take(picked),
@@ -80,43 +88,33 @@ def seeds(texts: DataFrame, size: int, window: int, compared: int | None = None)
 
 
 def _ordered_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over sorted seeds: each with the one before it and the first of its gram in this slice.
+    """Over sorted seeds: each with the last one of the document before, and the first, of its gram in this slice.
 
-    Rows without a partner are the edges of the slice, its first and last seed.
+    Rows without a partner are the edges of the slice: its first seed, its last, and the last of another document.
     """
-    held = first = None
+    held = np.empty((0, 4), np.int64)  # of the gram that may go on: the first seed, the last of the document before, the last
     edges = []
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)
-        if held is None:
+        if not edges:
             edges.append(rows[0])
-            first = rows[0]
-            whole, base = rows, 0
-        else:
-            whole, base = np.r_[held[None], rows], 1
+        whole, at = np.r_[held, rows], np.arange(len(held) + len(rows))
         new = np.r_[True, whole[1:, 0] != whole[:-1, 0]]
-        group = np.maximum.accumulate(np.where(new, np.arange(len(whole)), 0))
-        if base and first[0] == whole[0, 0]:
-            heads = np.r_[first[None], whole][np.where(group == 0, 0, group + 1)]
-        else:
-            heads = whole[group]
-        same = np.flatnonzero(~new)
-        before = whole[same - 1]
-        yield _pairs(whole[same], before)
-        far = (heads[same] != before).any(1)
-        yield _pairs(whole[same][far], heads[same][far])
-        held, first = whole[-1], heads[-1]
-    if held is not None:
-        edges.append(held)
-        yield _pairs(np.array(edges), None)
+        group = np.maximum.accumulate(np.where(new, at, 0))
+        document = np.maximum.accumulate(np.where(new | np.r_[True, (whole[1:, 1:3] != whole[:-1, 1:3]).any(1)], at, 0))
+        later = at[len(held):]
+        later = later[document[later] > group[later]]
+        before = document[later] - 1
+        yield _pairs(whole[later], whole[before])
+        far = (whole[group[later], 1:] != whole[before, 1:]).any(1)
+        yield _pairs(whole[later][far], whole[group[later][far]])
+        held = whole[np.unique([group[-1], max(group[-1], document[-1] - 1), at[-1]])]
+    yield _pairs(np.array([*edges, *held[-2:]]).reshape(-1, 4), None)
 
 
 def _pairs(later: np.ndarray, earlier: np.ndarray | None) -> pa.RecordBatch:
-    if earlier is not None:  # a passage repeats across documents
-        across = (later[:, 1:3] != earlier[:, 1:3]).any(1)
-        later, earlier = later[across], earlier[across]
     left = [pa.array(later[:, i].astype(np.int32) if i == 3 else later[:, i]) for i in range(4)]
     right = [pa.nulls(len(later), pa.int64())] * 2 + [pa.nulls(len(later), pa.int32())] if earlier is None else [
         pa.array(earlier[:, 1]), pa.array(earlier[:, 2]), pa.array(earlier[:, 3].astype(np.int32))]
@@ -124,20 +122,21 @@ def _pairs(later: np.ndarray, earlier: np.ndarray | None) -> pa.RecordBatch:
 
 
 def seed_pairs(made: DataFrame) -> DataFrame:
-    """Each stored seed with the previous one of its gram, and with an early one, in document order.
+    """Each stored seed with the previous document's of its gram, and with an early one, in document order.
 
     Seeds are sorted over all tasks by gram and document, so that a very frequent gram is spread over
-    tasks; the seeds at the edges of the slices, two for each, are paired in a second step. The pairs
-    of a gram grow with its seeds, not with their square, and connect them all.
+    tasks; the seeds at the edges of the slices, three for each, are paired in a second step. The pairs
+    of a gram grow with its seeds, not with their square, and connect all its documents.
     """
     order = ["gram", "doc_id", "digest", "at"]
     found = keep(made.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         _ordered_pairs, "gram bigint, doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int"))
     edges = found.filter(F.col("from_id").isNull()).select(*order).distinct()
-    by_gram = Window.partitionBy("gram").orderBy("doc_id", "digest", "at")
-    last = edges.select(*order, *[F.lag(c).over(by_gram).alias(f) for c, f in zip(order[1:], ("from_id", "from_digest", "from_at"))])
-    across = ~(F.col("doc_id").eqNullSafe(F.col("from_id")) & F.col("digest").eqNullSafe(F.col("from_digest")))
-    return found.filter(F.col("from_id").isNotNull()).unionByName(last.filter(F.col("from_id").isNotNull() & across))
+    documents = edges.groupBy(*order[:3]).agg(F.max("at").alias("at"))
+    by_gram = Window.partitionBy("gram").orderBy("doc_id", "digest")
+    before = documents.select(*order[:3], *[F.lag(c).over(by_gram).alias(f) for c, f in zip(order[1:], ("from_id", "from_digest", "from_at"))])
+    last = edges.join(before.filter(F.col("from_id").isNotNull()), order[:3]).select(*found.columns)
+    return found.filter(F.col("from_id").isNotNull()).unionByName(last)
 
 
 def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -4,15 +4,15 @@ Of each document only the suffixes at minimiser positions are retained: places c
 around them, so that two documents that share `LEAST_WORDS` words retain a suffix at the same word of
 the shared passage. A suffix whose first `COMPARED` words occur once in the corpus cannot lie in a
 repeated passage at that place and is left out. The others are sorted over all tasks by the words that
-follow, and each is compared with its neighbour: the match is extended to the right and to the left, as
+follow, and each is compared with its neighbours, the nearest of other documents: the match is extended to the right and to the left, as
 far as `RIGHT` and `LEFT` words, which reaches beyond the next retained suffix. The neighbour matches
 furthest to the right; for the one that matches furthest to the left, suffixes that begin alike are
 sorted once more, by the words before them. The matches of a document are joined, and those of at
 least `LEAST_WORDS` words are repeated passages.
 
 The order is spread by ranges of (following words, document), so a suffix that a third of all documents
-share is dealt over tasks; the neighbours at the edges of the ranges, two suffixes each, are compared in
-a second step. Neighbours are linear in the suffixes, whatever the size of a group.
+share is dealt over tasks; at the edges of the ranges, the suffixes of their first and last documents are
+compared in a second step. Neighbours are linear in the suffixes, whatever the size of a group.
 
 Words are what ASCII white space separates, with A-Z in lower case. Null, empty and short texts have no
 passages; of equal rows one counts; a null id comes first and is returned as null. A repetition within
@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platterflow.llm.passages import NULL_ID, merged, references, seeds, texts_of, words_of
@@ -82,35 +82,35 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over sorted suffixes: matches of neighbours, and the first and the last suffix as edges."""
-    first = held = None
+    """Over sorted suffixes: matches with the nearest ones of other documents on both sides. The suffixes of
+    the first and the last document in the slice are edges too."""
+    other, same, edges = None, [], None  # the last of the document before, those of this one, the first document's
+
+    def closed(after: tuple | None) -> list[tuple]:
+        # Against the document behind, the last suffix is compared from there.
+        found = [m for row in same if other is not None for m in matches(row, other)]
+        return found + [m for row in same[:-1] if after is not None for m in matches(row, after)]
+
     for batch in batches:
         found = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held is None:
-                first = row
-            else:
-                found += matches(row, held)
-            held = row
+            if same and row[1:3] != same[-1][1:3]:
+                found += closed(row)
+                edges = same if edges is None else edges
+                other, same = same[-1], []
+            same.append(row)
         yield _batch(found)
-    edges = [first] if first == held else [first, held]
-    yield _batch([(e[1], e[2], None, None, None, True, e[0], e[3], e[4]) for e in edges if e is not None])
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(*(c.to_pylist() for c in batch.columns))
-        yield _batch([m for r in rows for m in matches(r[:5], r[5:])])
+    yield _batch(closed(None))
+    yield _batch([(e[1], e[2], None, None, None, True, e[0], e[3], e[4]) for e in [*(edges or []), *same]])
 
 
 def _compared_in(retained: DataFrame, order: list[str]) -> DataFrame:
     """The matches of neighbours in an order of all suffixes."""
     found = keep(retained.repartitionByRange(*order).sortWithinPartitions(*order).select(*SUFFIX_NAMES).mapInArrow(_neighbours, MATCH))
-    # Two rows for each range.
+    # The suffixes of two documents for each range.
     edges = found.filter("edge").select(*SUFFIX_NAMES).withColumn("begin", F.xxhash64(F.substring_index("after", " ", COMPARED)))
-    line = Window.partitionBy(F.lit(0)).orderBy(*order)
-    paired = edges.select(*SUFFIX_NAMES, *[F.lag(c).over(line).alias(f"{c}_2") for c in SUFFIX_NAMES]).filter(F.col("at_2").isNotNull())
-    return found.filter(~F.col("edge")).unionByName(paired.mapInArrow(_compared, MATCH))
+    paired = edges.repartition(1).sortWithinPartitions(*order).select(*SUFFIX_NAMES).mapInArrow(_neighbours, MATCH)
+    return found.unionByName(paired).filter(~F.col("edge"))
 
 
 def passages(texts: DataFrame) -> DataFrame:

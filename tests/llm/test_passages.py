@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from platterflow.llm import passages, substring_dedup, suffix_dedup
@@ -94,6 +95,28 @@ def test_two_passages_of_one_pair(spark, gaps):
     assert got[1] >= set(range(60)) | set(range(60 + gaps[1], 120 + gaps[1]))
 
 
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
+def test_passage_twice_in_a_document(spark, operator, many_slices):
+    r = random.Random(8)
+    shared = fresh(r, 70)
+    texts = [shared + fresh(r, 40), fresh(r, 20) + shared + fresh(r, 30) + shared, shared[:60] + fresh(r, 90) + shared, shared + shared + fresh(r, 5) + shared]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    got = covered(operator.repeated_passages(docs).collect())
+    assert got[1] >= set(range(20, 90)) | set(range(120, 190))
+    assert got[2] >= set(range(60)) | set(range(150, 220)) and got[3] >= set(range(140)) | set(range(145, 215))
+
+
+def test_seeds_are_paired_with_other_documents():
+    rows = [(1, 1, 0, 3), (1, 1, 0, 9), (1, 2, 0, 4), (1, 2, 0, 8), (1, 3, 0, 1), (2, 3, 0, 5), (2, 3, 0, 6), (3, 1, 0, 7)]
+    names = ["gram", "doc_id", "digest", "at"]
+    for cut in range(len(rows) + 1):
+        parts = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in p]) for p in (rows[:cut], rows[cut:]) if p]
+        out = [tuple(r.values()) for b in passages._ordered_pairs(iter(parts)) for r in b.to_pylist()]
+        pairs = {(r[:4], r[4:]) for r in out if r[4] is not None}
+        early = (1, 0, 3)
+        assert pairs == {(rows[2], (1, 0, 9)), (rows[2], early), (rows[3], (1, 0, 9)), (rows[3], early), (rows[4], (2, 0, 8)), (rows[4], early)}
+
+
 def best_chain(found, gap):
     """Brute force over all orders."""
     score = []
