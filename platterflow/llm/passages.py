@@ -63,9 +63,10 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(views.argmin(1) + np.arange(len(views)))
 
 
-def seeds(texts: DataFrame, size: int, window: int, compared: int | None = None) -> DataFrame:
-    """Minimiser positions: (gram, doc_id, digest, at). `gram` hashes `compared` words (`size` if
-    none are given) from there. A gram that a document has several times is a seed at each place."""
+def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = None, period: int = 0) -> DataFrame:
+    """Minimiser positions, all positions for a window of 1: (gram, doc_id, digest, at). `gram` hashes
+    `compared` words (`size` if none are given) from there. A gram that a document has several times is
+    a seed at each place, but from the third time on if it comes every `period` words or oftener."""
     longer = compared or size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +74,8 @@ def seeds(texts: DataFrame, size: int, window: int, compared: int | None = None)
             grams, places, sizes = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = word_hashes(words_of(text))
-                at = minimisers(gram_hashes(hashes, size), window)
+                grams_of = gram_hashes(hashes, size)
+                at = minimisers(grams_of, window) if window > 1 else unsteady(grams_of, period)
                 found = gram_hashes(hashes, longer)
                 at = at[at < len(found)]
                 grams.append(found[at])

@@ -117,6 +117,24 @@ def test_seeds_are_paired_with_other_documents():
         assert pairs == {(rows[2], (1, 0, 9)), (rows[2], early), (rows[3], (1, 0, 9)), (rows[3], early), (rows[4], (2, 0, 8)), (rows[4], early)}
 
 
+def edited(r, words, share):
+    return [w if r.random() > share else fresh(r, 1)[0] for w in words]
+
+
+def test_scattered_edits_hide_no_passage(spark):
+    r = random.Random(9)
+    texts = []
+    for share, size in ((0.1, 60), (0.15, 100)):
+        for _ in range(60):
+            passage = fresh(r, size)
+            texts += [fresh(r, 20) + passage + fresh(r, 20), fresh(r, 30) + edited(r, passage, share) + fresh(r, 10)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    got = covered(substring_dedup.repeated_passages(docs).collect())
+    lone = [passages.words_of(" ".join(w)) for w in texts]
+    need = {i for i in range(1, len(texts), 2) if substring_dedup.shared_passages(lone[i], lone[i - 1])}
+    assert len(need) > 80 and got.keys() == need
+
+
 def best_chain(found, gap):
     """Brute force over all orders."""
     score = []
