@@ -63,10 +63,11 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(views.argmin(1) + np.arange(len(views)))
 
 
-def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = None, period: int = 0) -> DataFrame:
+def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = None, period: int = 0, bits: int = 64) -> DataFrame:
     """Minimiser positions, all positions for a window of 1: (gram, doc_id, digest, at). `gram` hashes
     `compared` words (`size` if none are given) from there. A gram that a document has several times is
-    a seed at each place, but from the third time on if it comes every `period` words or oftener."""
+    a seed at each place, but from the third time on if it comes every `period` words or oftener.
+    `gram` keeps the first `bits` bits."""
     longer = compared or size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +79,7 @@ def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = N
                 at = minimisers(grams_of, window) if window > 1 else unsteady(grams_of, period)
                 found = gram_hashes(hashes, longer)
                 at = at[at < len(found)]
-                grams.append(found[at])
+                grams.append(found[at] >> np.uint64(64 - bits) << np.uint64(64 - bits))
                 places.append(at)
                 sizes.append(len(at))
             picked = pa.array(np.repeat(np.arange(len(sizes)), sizes))
@@ -124,15 +125,18 @@ def _pairs(later: np.ndarray, earlier: np.ndarray | None) -> pa.RecordBatch:
 
 
 def seed_pairs(made: DataFrame) -> DataFrame:
-    """Each stored seed with the previous document's of its gram, and with an early one, in document order.
+    """Each seed with the previous document's of its gram, and with an early one, in document order.
 
     Seeds are sorted over all tasks by gram and document, so that a very frequent gram is spread over
     tasks; the seeds at the edges of the slices, three for each, are paired in a second step. The pairs
     of a gram grow with its seeds, not with their square, and connect all its documents.
     """
     order = ["gram", "doc_id", "digest", "at"]
-    found = keep(made.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _ordered_pairs, "gram bigint, doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int"))
+    # Side by side, what differs from row to row leaves the rest to the shuffle's compression.
+    laid = made.select("doc_id", "digest", "gram", "at").repartitionByRange(*order).sortWithinPartitions(*order)
+    found = laid.select(*order).mapInArrow(
+        _ordered_pairs, "gram bigint, doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int")
+    found = keep(found.withColumn("gram", F.when(F.col("from_id").isNull(), F.col("gram"))))  # only the edges need it
     edges = found.filter(F.col("from_id").isNull()).select(*order).distinct()
     documents = edges.groupBy(*order[:3]).agg(F.max("at").alias("at"))
     by_gram = Window.partitionBy("gram").orderBy("doc_id", "digest")

@@ -135,6 +135,18 @@ def test_scattered_edits_hide_no_passage(spark):
     assert len(need) > 80 and got.keys() == need
 
 
+def test_fuzzy_copies_of_a_group(spark, many_slices):
+    r = random.Random(10)
+    base = fresh(r, 60)
+    texts = [fresh(r, 20) + edited(r, base, 0.1) + fresh(r, 20) for _ in range(100)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    got = covered(substring_dedup.repeated_passages(docs).collect()).keys()
+    lone = [passages.words_of(" ".join(w)) for w in texts]
+    need = {i for i in range(100) if any(substring_dedup.shared_passages(lone[i], lone[j]) for j in range(i))}
+    print("group", len(got), len(need))
+    assert got <= need and len(got) >= 0.95 * len(need)
+
+
 def best_chain(found, gap):
     """Brute force over all orders."""
     score = []
