@@ -2,95 +2,102 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platterflow import constants as K
+from platterflow.session import keep
+from platterflow.sources import records
 
 
-def expand(spark: SparkSession, pattern: str) -> list[str]:
-    """Sorted paths a glob stands for, on any file system Spark can reach."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob stands for anything, on any file system Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(status.getPath().toString() for status in found or [])
+    return bool(found is not None and len(found))
 
 
 def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """The given paths; raises FileNotFoundError naming every one that is absent."""
     paths = list(paths)
-    missing = [path for path in paths if not expand(spark, path)]
+    missing = [path for path in paths if not exists(spark, path)]
     if missing:
         raise FileNotFoundError("Input not found: " + ", ".join(missing))
     return paths
 
 
 def read_exports(
-    spark: SparkSession, paths: str | Sequence[str], format: str = "csv", splittable: bool = False,
+    spark: SparkSession, paths: str | Sequence[str], format: str = "csv", line_breaks: bool = True,
 ) -> DataFrame:
     """All lines of the files named by a glob or a list, columns matched by name.
 
-    Adds `line_order` (file, split offset, row): it follows the order of the lines in the files
-    however Spark packs the splits into tasks.  CSV files with the same header are scanned together.
-    A quoted cell may hold line breaks, so a CSV file is one task; for files known to hold none,
-    `splittable` lets several tasks share a file.  Large exports are best written once as Parquet.
+    Adds `line_order`, numbers for (file, split, row): it follows the names of the files and the order of the lines in them,
+    however Spark packs the splits into tasks; and `line_file`, the path. Many tasks share a CSV file. Its cells may hold
+    line breaks, which takes one more pass over the text (`sources.records`); without `line_breaks` that pass is left out.
+    Headers are read by a Spark job; files of one header are scanned together.
     """
-    names = expand(spark, paths) if isinstance(paths, str) else existing(spark, paths)
+    names = [paths] if isinstance(paths, str) and exists(spark, paths) else paths
+    names = [] if isinstance(names, str) else existing(spark, names)
     if not names:
         raise FileNotFoundError(f"No source files found for {paths}")
+    numbers = records.numbered_files(spark, names)
     if format == "parquet":
         lines = spark.read.option("mergeSchema", True).parquet(*names)
-        return lines.select("*", _line_order())
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for name, header in zip(names, pool.map(lambda name: csv_header(spark, name), names)):
-            by_header.setdefault(header, []).append(name)
-    scans = [_scan_csv(spark, group, header, not splittable) for header, group in by_header.items()]
+        return _in_order(lines.select("*", *_places()), numbers, lines.columns)
+    heads = keep(numbers.join(records.headers(spark, names), "file", "left"))
+    headless = heads.filter(F.coalesce(F.trim("header"), F.lit("")) == "").select("file").limit(3).collect()
+    if headless:
+        raise ValueError("No header in " + ", ".join(r.file for r in headless))
+    # One row per distinct header. Paths are listed only where there are several, and each group's scan lists them as well.
+    groups = heads.groupBy("header").agg(F.min("file_no").alias("first")).orderBy("first").collect()
+    scans = []
+    for group in groups:
+        own = names if len(groups) == 1 else [
+            r.file for r in heads.filter(F.col("header") == group.header).orderBy("file_no").select("file").collect()]
+        scan = _scan_records if line_breaks else _scan_lines
+        scans.append(scan(spark, own, records.columns_of(group.header), numbers))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def csv_header(spark: SparkSession, name: str) -> tuple[str, ...]:
-    """Column names in the first line of a file.  Opens the file itself: no Spark job per file."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(name)
-    stream = path.getFileSystem(conf).open(path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        first = reader.readLine()
-    finally:
-        reader.close()
-    if not first:
-        raise ValueError(f"No header in {name}")
-    return tuple(next(csv.reader([first.lstrip("\ufeff")])))
-
-
-def _line_order():
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.monotonically_increasing_id().alias("row"),
-    ).alias("line_order")
-
-
-def _scan_csv(spark: SparkSession, names: list[str], header: Sequence[str], multi_line: bool) -> DataFrame:
-    schema = ", ".join(f"`{column}` string" for column in header)
-    lines = (spark.read.option("header", True).option("multiLine", multi_line)
-             .option("escape", '"').schema(schema).csv(names))
-    cells = [F.when(~F.col(c).isin(*K.MISSING_TEXT), F.col(c)).alias(c) for c in header]
-    return lines.select(*cells, _line_order())
+def _places() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("row")]
+
+
+def _in_order(lines: DataFrame, numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lines that have the columns of `_places`, with `line_order` and `line_file` in their stead."""
+    order = F.struct(F.col("file_no").alias("file"), F.col("split").alias("offset"), "row").alias("line_order")
+    numbered = records.met(lines, numbers.select("file", "file_no"), ["file"])
+    return numbered.select(*[F.col(f"`{c}`") for c in columns], order, F.col("file").alias("line_file"))
+
+
+def _cells(header: Sequence[str], prefix: str = "") -> list[Column]:
+    return [F.when(~F.col(f"{prefix}`{c}`").isin(*K.MISSING_TEXT), F.col(f"{prefix}`{c}`")).alias(c) for c in header]
+
+
+def _schema(header: Sequence[str]) -> str:
+    return ", ".join(f"`{column}` string" for column in header)
+
+
+def _scan_lines(spark: SparkSession, names: list[str], header: Sequence[str], numbers: DataFrame) -> DataFrame:
+    lines = spark.read.option("header", True).option("escape", '"').schema(_schema(header)).csv(names)
+    return _in_order(lines.select(*_cells(header), *_places()), numbers, header)
+
+
+def _scan_records(spark: SparkSession, names: list[str], header: Sequence[str], numbers: DataFrame) -> DataFrame:
+    body = records.records(spark, names, numbers).filter(~F.col("head"))
+    parsed = body.withColumn("cells", F.from_csv("record", _schema(header), {"escape": '"'}))
+    order = F.struct(F.col("file_no").alias("file"), F.col("split").alias("offset"), "row").alias("line_order")
+    named = records.met(parsed, numbers.select("file", "file_no"), ["file_no"])
+    return named.select(*_cells(header, "cells."), order, F.col("file").alias("line_file"))
 
 
 def source_files(lines: DataFrame, level: int = 1) -> DataFrame:
-    """Lines read per source file, from the `line_order` the reader adds; level 2 is its folder."""
-    name = F.element_at(F.split(F.col("line_order.file"), "/"), -level)
+    """Lines read per source file, from the `line_file` the reader adds; level 2 is its folder."""
+    name = F.element_at(F.split(F.col("line_file"), "/"), -level)
     return lines.groupBy(name.alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
 
 
