@@ -9,7 +9,7 @@ from platterflow.operators import cleaning, reports
 from platterflow.plans import publish
 from platterflow.plans.daily_forecast import DailyForecast
 from platterflow.session import pin
-from platterflow.sources import exports
+from platterflow.sources import exports, records
 
 
 def run(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -26,10 +26,11 @@ def run_files(spark: SparkSession, pattern: str, output: str) -> DataFrame:
     """Read the exports, write the report as CSV and its summary as JSON; returns the best sellers."""
     lines = exports.read_exports(spark, pattern)
     winners, summary = run(lines)
-    files = [name.rsplit("/", 1)[-1] for name in exports.expand(spark, pattern)]
-    publish.write_csv(winners, f"{output}/monthly_top_sellers")
-    publish.write_json(summary.withColumn("source_files", F.array(*map(F.lit, files))), f"{output}/summary")
-    return spark.read.option("header", True).schema(winners.schema).csv(f"{output}/monthly_top_sellers")
+    names = records.files(spark, pattern).agg(F.array_sort(F.collect_list(F.element_at(F.split("file", "/"), -1)))).scalar()
+    with publish.Publication(spark, output) as sections:
+        written = sections.write(winners, "monthly_top_sellers", format="csv")
+        sections.write(summary.withColumn("source_files", names), "summary")
+        return pin(written)
 
 
 def printed_parts(result: DailyForecast) -> dict[str, DataFrame]:

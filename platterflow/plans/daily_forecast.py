@@ -76,15 +76,12 @@ def run(
 
 
 def write(result: DailyForecast, output: str) -> DataFrame:
-    """Write every section as JSON records; returns the run's counters."""
-    for name, frame in result.sections().items():
-        publish.write_section(publish.nulls_for_nan(frame), output, name)
-    spark = result.daily.sparkSession
-    counted = {name: spark.read.json(f"{output}/{name}").count()
-               for name in ("stationForecasts", "routeForecasts")}
-    counters = result.evaluation.select(
+    """Publish every section as JSON records, all or none; returns the run's counters."""
+    with publish.Publication(result.daily.sparkSession, output) as sections:
+        written = {name: sections.write(publish.nulls_for_nan(frame), name) for name, frame in result.sections().items()}
+        counted = {name: written[name].count() for name in ("stationForecasts", "routeForecasts", "eventAlerts")}
+    counters = written["evaluation"].select(
         F.lit(output).alias("output"), F.lit(counted["stationForecasts"]).alias("stations"),
         F.lit(counted["routeForecasts"]).alias("routes"),
-        F.lit(result.alerts.count()).alias("alerts"), F.struct("*").alias("evaluation"))
-    counters = pin(counters)
-    return counters
+        F.lit(counted["eventAlerts"]).alias("alerts"), F.struct("*").alias("evaluation"))
+    return pin(counters)

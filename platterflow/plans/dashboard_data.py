@@ -10,7 +10,7 @@ from platterflow.operators import cleaning, dashboard, orders
 from platterflow.plans import publish
 from platterflow.session import keep, pin
 from platterflow.sources import dimensions
-from platterflow.sources.exports import expand
+from platterflow.sources.exports import exists
 
 def metadata(record: DataFrame, coverage: DataFrame, forecast: DataFrame, model: str) -> DataFrame:
     """The dashboard's record of availability, coverage and notes."""
@@ -33,7 +33,7 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
     spark = lines.sparkSession
     cleaned = cleaning.dashboard_lines(lines, code_fallback)
     cube = keep(dashboard.line_cube(cleaned))
-    if not expand(spark, station_map):
+    if not exists(spark, station_map):
         publish.write_missing_csv(
             dimensions.station_template(cube).orderBy("station_code", "station"), station_map)
     states = dimensions.station_states(dimensions.read_station_map(spark, station_map))
@@ -49,13 +49,11 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
 
 
 def write(sections: dict[str, DataFrame], output: str, cancellation_metrics: str | None = None) -> DataFrame:
-    """Write the sections as JSON records, and pass an earlier cancellation record on; returns the run's counters."""
-    for name, frame in sections.items():
-        publish.write_section(frame, output, name, strict=False)
+    """Publish the sections as JSON records, all or none, an earlier cancellation record among them; returns the run's counters."""
     spark = sections["metadata"].sparkSession
     record = dimensions.read_payload(spark, cancellation_metrics) if cancellation_metrics else None
-    if record is not None:
-        publish.write_json(record, f"{output}/cancellationModel", strict=False)
-    counted = {name: spark.read.schema(frame.schema).json(f"{output}/{name}").count() for name, frame in sections.items()}
+    passed_on = {} if record is None else {"cancellationModel": record}
+    with publish.Publication(spark, output) as published:
+        counted = {name: published.write(frame, name, strict=False).count() for name, frame in (sections | passed_on).items()}
     return spark.createDataFrame([(output, counted["monthly"], counted["topItems"], counted["forecast"])],
                                  "output string, months bigint, rankings bigint, forecastItems bigint")

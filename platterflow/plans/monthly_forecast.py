@@ -64,13 +64,12 @@ def run(
 
 
 def write(result: MonthlyForecast, output: str) -> DataFrame:
-    """Write the sections as JSON records; returns the run's counters."""
-    publish.write_section(result.metadata, output, "metadata")
-    publish.write_section(publish.nulls_for_nan(result.cards), output, "stationSummaries")
-    publish.write_section(result.details, output, "stationDetails")
-    spark = result.cards.sparkSession
-    written = spark.read.json(f"{output}/stationDetails").agg(F.count(F.lit(1))).scalar()
-    counters = pin(result.cards.agg(
-        F.lit(output).alias("output"), F.count_distinct("stationCode").alias("stations"),
-        F.count(F.lit(1)).alias("monthlyCards")).withColumn("details", written))
+    """Publish the sections as JSON records, all or none; returns the run's counters."""
+    with publish.Publication(result.cards.sparkSession, output) as sections:
+        sections.write(result.metadata, "metadata")
+        cards = sections.write(publish.nulls_for_nan(result.cards), "stationSummaries")
+        details_written = sections.write(result.details, "stationDetails").count()
+        counters = pin(cards.agg(
+            F.lit(output).alias("output"), F.count_distinct("stationCode").alias("stations"),
+            F.count(F.lit(1)).alias("monthlyCards"), F.lit(details_written).alias("details")))
     return counters

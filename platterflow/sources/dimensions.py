@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.functions import coerce
 from platterflow.functions.aggregates import first_row
-from platterflow.sources.exports import expand
+from platterflow.sources.exports import exists
+from platterflow.sources.published import resolve
 
 CALENDAR_SCHEMA = (
     "date date, event_name string, event_type string, "
@@ -21,7 +22,7 @@ ITEM_FORECAST_SCHEMA = (
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     """Calendar rows as text, with the order of the rows; no rows when the file is absent."""
-    if not expand(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "date string, row_order bigint")
     rows = spark.read.option("header", True).csv(path)
     cells = [F.when(~F.col(c).isin(*K.MISSING_TEXT), F.col(c)).alias(c) for c in rows.columns]
@@ -84,11 +85,12 @@ def station_states(station_map: DataFrame, order: str | None = None) -> DataFram
 
 def read_item_forecast(spark: SparkSession, path: str) -> DataFrame:
     """Ranked item forecast written by the item job; no rows when it has not run."""
-    if not expand(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], ITEM_FORECAST_SCHEMA)
     return spark.read.option("header", True).schema(ITEM_FORECAST_SCHEMA).csv(path)
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame | None:
-    """JSON records of an earlier job, or None when they are absent."""
-    return spark.read.json(path) if expand(spark, path) else None
+    """JSON records of an earlier job, or None when they are absent. Of a published section the current version is read."""
+    found = resolve(spark, path)
+    return spark.read.json(found) if exists(spark, found) else None
