@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platterflow import constants as K
-from platterflow.functions import coerce, dates
+from platterflow.functions import coerce, dates, inferred
 
 
 def line_order(lines: DataFrame) -> Column:
@@ -20,6 +20,13 @@ def line_order(lines: DataFrame) -> Column:
     return F.struct(*sorted(lines.columns))
 
 
+def column_instant(lines: DataFrame, name: str) -> Column:
+    """Timestamps of a column whose texts share one format; see `functions.inferred`."""
+    if dict(lines.dtypes)[name] != "string":
+        return coerce.instant(F.col(name), "typed")
+    return inferred.instant(F.col(name), inferred.column_pattern(lines, name, line_order(lines)))
+
+
 class _Cells:
     """Typed access to the cells of a raw line frame."""
 
@@ -38,6 +45,10 @@ class _Cells:
     def instant(self, name: str) -> Column:
         return coerce.instant(F.col(name), self.types[name]).alias(name)
 
+    def instant_of_column(self, name: str) -> Column:
+        """In the one format that the column's first text has."""
+        return column_instant(self.lines, name).alias(name)
+
 
 def delivered_lines(lines: DataFrame) -> DataFrame:
     """Fulfilled lines with a delivery date, for the daily forecast."""
@@ -84,7 +95,7 @@ def dashboard_lines(lines: DataFrame, code_fallback: str = K.FALLBACK_TEXT["stat
     cell = _Cells(lines)
     return (
         lines.select(
-            "order_id", cell.instant("booking_date"),
+            "order_id", cell.instant_of_column("booking_date"),
             cell.text("station_code", code_fallback),
             cell.text("station_name").alias("station"),
             cell.text("item_name").alias("item"),
@@ -108,7 +119,7 @@ def report_lines(lines: DataFrame) -> DataFrame:
     return (
         lines.filter(coerce.is_fulfilled(F.col("order_status")))
         .select(
-            dates.month_key(cell.instant("created_at")).alias("month"),
+            dates.month_key(cell.instant_of_column("created_at")).alias("month"),
             F.col("item_name"), F.col("outlet_name"), F.col("station_name"),
             F.col("order_id"), cell.number_or_zero("quantity"),
         )
@@ -121,7 +132,7 @@ def booking_lines(lines: DataFrame) -> DataFrame:
     cell = _Cells(lines)
     return (
         lines.select(
-            "order_id", cell.instant("booking_date"), cell.instant("eta"),
+            "order_id", cell.instant_of_column("booking_date"), cell.instant_of_column("eta"),
             coerce.is_cancelled(F.col("order_status")).alias("cancelled"),
             *[F.col(c).cast("string").alias(c) for c in K.CANCELLATION_CATEGORIES],
             F.col("item_name"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.functions import coerce, dates
 from platterflow.functions.aggregates import units_sum
-from platterflow.operators.cleaning import line_order
+from platterflow.operators.cleaning import column_instant, line_order
 from platterflow.operators.ordering import global_rank
 from platterflow.operators.split import latest
 from platterflow.session import keep
@@ -29,7 +29,7 @@ def adapt_schema(raw: DataFrame) -> DataFrame:
             "promotion_active", (discount > 0).cast("int"))
     types = dict(raw.dtypes)
     typed = raw.withColumns({
-        "date": coerce.instant(F.col("date"), types["date"]),
+        "date": column_instant(raw, "date"),
         "quantity_sold": coerce.number(F.col("quantity_sold"), types["quantity_sold"]),
         "line_order": line_order(raw),
     }).na.drop(subset=list(K.ITEM_REQUIRED))
