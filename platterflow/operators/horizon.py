@@ -1,8 +1,7 @@
 """The recursive daily horizon: each day's forecast becomes demand history of the days after it.
 
-The state is one row per station with its last few demand values in an array.  Two runners share
-it.  `forecast_by_formula` folds a column expression over the days inside one projection.
-`forecast_by_model` scores all stations with a fitted model once per day.
+The state is one row per station with its last few demand values in an array. A formula, or a fitted model turned into one,
+is folded over the days inside one projection.
 """
 
 from __future__ import annotations
@@ -109,10 +108,8 @@ def momentum(features: Mapping[str, Column]) -> Column:
     return base * uplift
 
 
-def forecast_by_formula(
-    panel: DataFrame, calendar: DataFrame, formula: Formula = momentum, days: int = K.HORIZON_DAYS,
-) -> DataFrame:
-    """Station-by-day predictions of a formula over the feature columns."""
+def _folded(state: DataFrame, formula: Formula) -> DataFrame:
+    """All days of the horizon inside one projection."""
     def step(acc: Column, day: Column) -> Column:
         value = F.greatest(formula(_features(day, acc["history"])), F.lit(0.0))
         return F.struct(
@@ -120,32 +117,19 @@ def forecast_by_formula(
             F.concat(acc["forecasts"], F.array(value)).alias("forecasts"))
 
     start = F.struct(F.col("history"), F.array().cast("array<double>").alias("forecasts"))
-    state = _state(panel, calendar, days)
-    folded = state.withColumn("forecasts", F.aggregate("days", start, step)["forecasts"])
-    return _unrolled(folded)
+    return _unrolled(state.withColumn("forecasts", F.aggregate("days", start, step)["forecasts"]))
 
 
-def forecast_by_model(
-    panel: DataFrame, calendar: DataFrame, model, days: int = K.HORIZON_DAYS, steps_per_cut: int = 5,
+def forecast_by_formula(
+    panel: DataFrame, calendar: DataFrame, formula: Formula = momentum, days: int = K.HORIZON_DAYS,
 ) -> DataFrame:
+    """Station-by-day predictions of a formula over the feature columns."""
+    return _folded(_state(panel, calendar, days), formula)
+
+
+def forecast_by_model(panel: DataFrame, calendar: DataFrame, model, days: int = K.HORIZON_DAYS) -> DataFrame:
     """Station-by-day predictions of a fitted model (see `plans.learning`).
 
-    One scoring pass over the stations per day; the state is materialised every few days, so the
-    plan stays short and a lost executor costs at most those days.
+    The model is turned into a formula, so the jobs do not grow with the horizon: no pass over the stations per day.
     """
-    state = model.with_levels(_state(panel, calendar, days)).withColumn(
-        "forecasts", F.array().cast("array<double>"))
-    state = pin(state)
-    columns = state.columns
-    for step in range(days):
-        day = F.element_at("days", step + 1)
-        scored = model.predict(state.withColumns(_features(day, F.col("history"))))
-        value = F.greatest(F.col("prediction"), F.lit(0.0))
-        state = scored.withColumn("__value", value).withColumns({
-            "history": append(F.col("history"), F.col("__value")),
-            "forecasts": F.concat("forecasts", F.array("__value")),
-        }).select(*columns)
-        if (step + 1) % steps_per_cut == 0:
-            state = pin(state)
-    return _unrolled(state)
-
+    return _folded(pin(model.with_levels(_state(panel, calendar, days))), model.formula())

@@ -67,8 +67,11 @@ class Run:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
+    def new_path(self) -> str:
+        return f"{self.folder}/{uuid.uuid4().hex}"
+
     def store(self, frame: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{uuid.uuid4().hex}"
+        path = self.new_path()
         frame.write.parquet(path)
         return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -115,6 +118,11 @@ def keep(frame: DataFrame) -> DataFrame:
     return _current(frame.sparkSession).store(frame)
 
 
+def own_path(spark: SparkSession) -> str:
+    """A new path in the open run's folder, deleted with it."""
+    return _current(spark).new_path()
+
+
 def pin(frame: DataFrame) -> DataFrame:
     """`keep` for a small frame, such as a table per station and day or a loop's state."""
     return keep(frame)

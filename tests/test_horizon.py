@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from platterflow import constants as K
 from platterflow.operators import horizon, readiness
-from platterflow.plans import publish
+from platterflow.plans import learning, publish
+from platterflow.session import pin
 from platterflow.sources import dimensions
 from tests.test_panel import PANEL, calendar, day, make
 
@@ -16,9 +17,66 @@ class FormulaModel:
     def with_levels(self, frame):
         return frame
 
-    def predict(self, frame):
-        names = ("is_weekend", *K.CALENDAR_FLAGS, "lag_1_demand", "rolling_7_demand")
-        return frame.withColumn("prediction", horizon.momentum({n: F.col(n) for n in names}))
+    def formula(self):
+        return horizon.momentum
+
+
+def day_by_day(panel, cal, model, days):
+    """The recursion with one scoring pass of the fitted pipeline per day."""
+    state = model.with_levels(horizon._state(panel, cal, days)).withColumn("forecasts", F.array().cast("array<double>"))
+    columns = state.columns
+    for step in range(days):
+        scored = model.predict(state.withColumns(horizon._features(F.element_at("days", step + 1), F.col("history"))))
+        state = pin(scored.withColumn("v", F.greatest("prediction", F.lit(0.0))).withColumns({
+            "history": horizon.append(F.col("history"), F.col("v")), "forecasts": F.concat("forecasts", F.array("v"))}).select(*columns))
+    return horizon._unrolled(state)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    """A model of three stations, one of them rare, with numbers that are missing."""
+    rows = [(code, i % 12 + 1, i % 7, i % 7 // 5, i % 11 // 10, 0, 0, None if i % 9 == 0 else float(i % 13), float(i % 5), 2.0 + i % 3,
+             float(10 * "ABC".index(code) + i % 13 + 3 * (i % 7 == 0))) for i, code in enumerate("AB" * 150 + "C")]
+    names = ("station_code string, month int, day_of_week int, is_weekend int, festival_flag int, holiday_flag int, local_event_flag int, "
+             "lag_1_demand double, rolling_7_demand double, vendor_capacity double, order_count double")
+    frame = spark.createDataFrame(rows, names)
+    trees = K.DAILY_TREES | {"trees": 12, "depth": 4, "step": 0.3}
+    return learning.fit_trees(frame, K.DAILY_CATEGORIES, K.DAILY_NUMBERS, "order_count", K.DAILY_MIN_FREQUENCY, trees)
+
+
+def test_the_formula_is_the_model(spark, fitted):
+    rows = [(c, m, d, 1, f, 0, 0, lag, 3.0, v) for c in ("A", "B", "C", "new", None) for m, d, f, lag, v in
+            ((1, 0, 0, 5.0, 2.0), (12, 6, 1, None, 9.0), (6, 3, 0, 0.0, None))]
+    frame = spark.createDataFrame(rows, "station_code string, month int, day_of_week int, is_weekend int, festival_flag int, holiday_flag int, "
+                                        "local_event_flag int, lag_1_demand double, rolling_7_demand double, vendor_capacity double")
+    levelled = fitted.with_levels(frame)
+    formula = fitted.formula()({n: F.col(n) for n in K.DAILY_NUMBERS})
+    got = fitted.predict(levelled.withColumn("by_formula", formula)).collect()
+    assert len(got) == 15 and len({r.prediction for r in got}) > 5
+    assert [r.by_formula for r in got] == pytest.approx([r.prediction for r in got], rel=1e-12)
+
+
+def test_one_fold_equals_a_pass_per_day(spark, fitted):
+    panel = make(spark, [(n, 5 + n % 7) for n in range(1, 20)], "A").unionByName(make(spark, [(2, 3), (4, 30)], "new"))
+    cal = calendar(spark, ("2024-01-22", "Holi", "Festival", "1", "0", "0"))
+    folded = horizon.forecast_by_model(panel, cal, fitted, 12).orderBy("station_code", "date").collect()
+    want = day_by_day(panel, cal, fitted, 12).orderBy("station_code", "date").collect()
+    assert [(r.station_code, r.date) for r in folded] == [(r.station_code, r.date) for r in want] and len(folded) == 24
+    assert [r.prediction for r in folded] == pytest.approx([r.prediction for r in want], rel=1e-12)
+
+
+def test_jobs_do_not_grow_with_the_horizon(spark, fitted):
+    panel = pin(make(spark, [(n, 5 + n % 7) for n in range(1, 20)], "A"))
+    cal = pin(calendar(spark, ("2024-01-22", "Holi", "Festival", "1", "0", "0")))
+
+    def jobs(days):
+        spark.sparkContext.setJobGroup(f"horizon-{days}", "")
+        assert horizon.forecast_by_model(panel, cal, fitted, days).count() == days
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"horizon-{days}"))
+
+    jobs(3)
+    assert 0 < jobs(40) == jobs(5)
 
 
 def test_append_keeps_the_last_seven(spark):
@@ -57,7 +115,7 @@ def test_both_runners_follow_the_recursion(spark):
     events = {day(6): (1, 0, 0), day(10): (0, 1, 1)}
     want = {"A": python_horizon([10.0, 12.0, 9.0], days, events), "B": python_horizon([3.0], days, events)}
     folded = horizon.forecast_by_formula(panel, cal)
-    looped = horizon.forecast_by_model(panel, cal, FormulaModel(), steps_per_cut=7)
+    looped = horizon.forecast_by_model(panel, cal, FormulaModel())
     for frame in (folded, looped):
         rows = frame.orderBy("station_code", "date").collect()
         assert len(rows) == 60

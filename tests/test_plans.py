@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as T
 from platterflow import constants as K
-from platterflow.operators import item_demand, metrics, monthly
+from platterflow.operators import item_demand, metrics, monthly, prepare
 from platterflow.plans import best_seller_report, cancellation, daily_forecast, dashboard_data, item_forecast, learning, monthly_forecast, publish
 from platterflow.sources import dimensions
 
@@ -17,7 +17,11 @@ SMALL = {"trees": 4, "depth": 3}
 
 
 def records(path):
-    out = []
+    out, path = [], str(path)
+    output, name = os.path.split(path)
+    if os.path.isdir(f"{output}/_manifests"):
+        with open(f"{output}/_manifests/{max(n for n in os.listdir(f'{output}/_manifests') if n.endswith('.json') and n[0] != '.')}") as file:
+            path = f"{output}/_versions/{json.load(file)['version']}/{name}"
     for name in sorted(os.listdir(path)):
         if name.endswith(".json"):
             with open(f"{path}/{name}") as file:
@@ -119,6 +123,31 @@ def test_model_survives_saving_and_finds_a_signal(spark, tmp_path):
     assert errors.r2 > 0.9
 
 
+def test_no_two_levels_share_a_place(spark, many_slices):
+    """20,000 levels, none merged: each keeps a place of its own, in the order of the levels."""
+    count = 20_000
+    frame = spark.range(count).selectExpr("concat('level ', id) AS code", "CAST(id % 2 AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS y")
+    levels = prepare.placed_levels(prepare.level_counts(frame, "code", 1), "code")
+    placed = prepare.place_levels(frame, levels, "code", "place")
+    assert placed.agg(F.count_distinct("place")).first()[0] == count
+    wanted = {code: float(i) for i, code in enumerate(sorted(f"level {i}" for i in range(count)))}
+    assert {r.code: r.place for r in placed.collect()} == wanted
+    model = learning.fit_trees(frame, ["code"], ["x"], "y", 1, K.ITEM_TREES | {"trees": 1, "depth": 2})
+    assert model.sizes() == {"code": count}
+    importance = {r.feature: r.importance for r in model.importance(spark).collect()}
+    assert set(importance) == {"code", "x"}
+
+
+def test_levels_of_one_value_are_told_apart(spark):
+    """Each of 300 levels has a value of its own, which the model finds again."""
+    frame = spark.range(1500).selectExpr("concat('l', id % 300) AS code", "0.0D AS x", "CAST(IF(id % 300 = 7, 50, 0) AS DOUBLE) AS y")
+    model = learning.fit_trees(frame, ["code"], ["x"], "y", 1, K.ITEM_TREES | {"trees": 3, "depth": 2, "columns": 1.0, "step": 1.0})
+    got = {r.code: r.prediction for r in model.score(frame.select("code", "x").distinct()).collect()}
+    assert got.pop("l7") > 40 and max(got.values()) < 5
+    empty = learning.fit_trees(frame.withColumn("code", F.lit(None).cast("string")), ["code"], ["x"], "y", 1, K.ITEM_TREES | {"trees": 1})
+    assert empty.sizes() == {} and empty.score(frame.limit(3)).count() == 3
+
+
 def test_dashboard(spark, tmp_path):
     lines = T.order_lines(spark, FOLDER, T.BOOKED + T.STATIONS + ("item_name", "outlet_name"))
     forecast = spark.createDataFrame([("2001-09", 1, "red widget", 9.0)], dimensions.ITEM_FORECAST_SCHEMA)
@@ -138,8 +167,8 @@ def test_best_seller_files(spark, tmp_path):
     os.makedirs(tmp_path / "data")
     (tmp_path / "data/2024.csv").write_text(
         "order_id,order_status,created_at,item_name,outlet_name,station_name,quantity\n"
-        "1,Delivered,2024-01-02 10:00:00,rice,v,S,2\n2,Delivered,bad,rice,v,S,9\n3,Cancelled,2024-01-02,dal,v,S,50\n"
-        "4,Partially Delivered,2024-01-03,dal,v,S,1\n")
+        "1,Delivered,2024-01-02 10:00:00,rice,v,S,2\n2,Delivered,bad,rice,v,S,9\n3,Cancelled,2024-01-02 11:00:00,dal,v,S,50\n"
+        "4,Partially Delivered,2024-01-03 09:00:00,dal,v,S,1\n")
     got = best_seller_report.run_files(spark, str(tmp_path / "data/[0-9]*.csv"), str(tmp_path / "out")).collect()
     assert [tuple(r) for r in got] == [("2024-01", 1, "rice", 2.0, 1, 1, 1)]
     summary = records(tmp_path / "out/summary")[0]
