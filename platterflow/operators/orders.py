@@ -42,8 +42,8 @@ def dashboard_orders(lines: DataFrame) -> DataFrame:
 def booking_features(lines: DataFrame) -> DataFrame:
     """Orders of `booking_lines` with what is known when they are booked.
 
-    Lines are combined per order and item first, so that counting items needs no second read of the
-    lines. Both steps group by the order, so one shuffle on it serves both.
+    Lines are combined per order and item first, so that counting items needs no second read of the lines. Both steps
+    combine before their shuffle, so an order with a third of all lines is merged from one row per task and item.
     """
     order = F.struct("booking_date", "line_order")
 
@@ -51,7 +51,7 @@ def booking_features(lines: DataFrame) -> DataFrame:
         return F.min(F.when(F.col(column).isNotNull(), F.struct(order.alias("o"), F.col(column).alias("v"))))
 
     firsts = ["eta", *K.CANCELLATION_CATEGORIES]
-    items = lines.repartition("order_id").groupBy("order_id", "item_name").agg(
+    items = lines.groupBy("order_id", "item_name").agg(
         F.min("booking_date").alias("booking_date"), F.bool_or("cancelled").alias("cancelled"),
         *[earliest(c).alias(c) for c in firsts], exact_units(F.col("quantity")).alias("units"),
         *[exact_sum(F.col(c)).alias(c) for c in ("selling_price", "discount")])

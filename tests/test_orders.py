@@ -93,3 +93,16 @@ def test_one_order_holding_most_lines(spark):
     rows += [line(f"o{n}", n, amount_payable=None) for n in range(100)]
     got = delivered(spark, *rows)
     assert got["hot"].revenue == 3300.0 and len(got) == 101
+
+
+def test_one_order_with_most_booked_lines(spark):
+    """Lines of one order lie in all tasks, and leave each as one row per item."""
+    rows = [line("hot", n, item_name=f"i{n % 3}", selling_price="1", food_type=None if n < 40 else f"f{n}") for n in range(3000)]
+    rows += [line(f"o{n}", n) for n in range(50)]
+    frame = lines(spark, *rows).repartition(8)
+    features = orders.booking_features(cleaning.booking_lines(frame))
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.rindex("Exchange hashpartitioning(order_id"):]
+    assert "partial_min" in before_shuffle and "REPARTITION_BY_COL" not in plan
+    got = {r.order_id: r for r in features.collect()}
+    assert (got["hot"].item_count, got["hot"].food_type, got["hot"].total_selling_price, len(got)) == (3, "f40", 3000.0, 51)
