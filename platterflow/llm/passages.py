@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platterflow.llm.common import id_and_text, small_side
@@ -20,6 +20,8 @@ from platterflow.session import keep
 WORD = re.compile("[^\\x20\\x09-\\x0d]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 NULL_ID = -(1 << 63)
+# Documents of a batch that have a gram, from which on they are paired within the batch.
+FREQUENT = 8
 
 
 def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,23 +65,17 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(views.argmin(1) + np.arange(len(views)))
 
 
-def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = None, period: int = 0, bits: int = 64) -> DataFrame:
-    """Minimiser positions, all positions for a window of 1: (gram, doc_id, digest, at). `gram` hashes
-    `compared` words (`size` if none are given) from there. A gram that a document has several times is
-    a seed at each place, but from the third time on if it comes every `period` words or oftener.
-    `gram` keeps the first `bits` bits."""
-    longer = compared or size
-
+def seeds(texts: DataFrame, size: int, window: int, compared: int) -> DataFrame:
+    """Minimiser positions: (gram, doc_id, digest, at). `gram` hashes `compared` words from there."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams, places, sizes = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = word_hashes(words_of(text))
-                grams_of = gram_hashes(hashes, size)
-                at = minimisers(grams_of, window) if window > 1 else unsteady(grams_of, period)
-                found = gram_hashes(hashes, longer)
+                at = minimisers(gram_hashes(hashes, size), window)
+                found = gram_hashes(hashes, compared)
                 at = at[at < len(found)]
-                grams.append(found[at] >> np.uint64(64 - bits) << np.uint64(64 - bits))
+                grams.append(found[at])
                 places.append(at)
                 sizes.append(len(at))
             picked = pa.array(np.repeat(np.arange(len(sizes)), sizes))
@@ -90,59 +86,111 @@ def seeds(texts: DataFrame, size: int, window: int = 1, compared: int | None = N
     return texts.select("doc_id", "digest", "text").mapInArrow(rows, "gram bigint, doc_id bigint, digest bigint, at int")
 
 
-def _ordered_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over sorted seeds: each with the last one of the document before, and the first, of its gram in this slice.
+def _grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Over seeds sorted by gram and document: where the gram, and where the document of each begins."""
+    at = np.arange(len(rows))
+    new = np.r_[True, rows[1:, 0] != rows[:-1, 0]]
+    group = np.maximum.accumulate(np.where(new, at, 0))
+    return group, np.maximum.accumulate(np.where(new | np.r_[True, (rows[1:, 1:3] != rows[:-1, 1:3]).any(1)], at, 0))
+
+
+def _partners(rows: np.ndarray, later: np.ndarray, group: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of the seeds `later`, none of a gram's first document, with the last one of the document before, and with the first."""
+    before = document[later] - 1
+    far = (rows[group[later], 1:] != rows[before, 1:]).any(1)
+    return rows[np.r_[later, later[far]]], rows[np.r_[before, group[later[far]]]]
+
+
+SEED = "gram bigint, doc_id bigint, digest bigint, at int"
+SEED_PAIR = "doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int"
+
+
+def _seeds(rows: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)] + [pa.array(rows[:, 3].astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=["gram", "doc_id", "digest", "at"])
 
-    Rows without a partner are the edges of the slice: its first seed, its last, and the last of another document.
+
+def local_seeds(texts: DataFrame, size: int, period: int, bits: int) -> DataFrame:
+    """Seeds of whole documents at all places, (gram, doc_id, digest, at); `gram` keeps the first `bits` bits of the hash.
+
+    Where `FREQUENT` or more documents of a batch have a gram, only the first and the last of them hand it to other batches: a
+    gram that a third of all documents have leaves a batch as two documents' seeds. The documents between are paired here, with
+    the one before and the first: a pair is two seeds of a gram of its own.
     """
-    held = np.empty((0, 4), np.int64)  # of the gram that may go on: the first seed, the last of the document before, the last
-    edges = []
+    def cut(grams: np.ndarray) -> np.ndarray:
+        return grams >> np.uint64(64 - bits) << np.uint64(64 - bits)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for doc, digest, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                grams = gram_hashes(word_hashes(words_of(text)), size)
+                at = unsteady(grams, period)
+                part = np.empty((len(at), 4), np.int64)
+                part[:, 0], part[:, 1], part[:, 2], part[:, 3] = cut(grams[at]).view(np.int64), doc, digest, at
+                parts.append(part)
+            made = np.concatenate(parts) if parts else np.empty((0, 4), np.int64)
+            if not len(made):
+                continue
+            order = np.lexsort(made.T[::-1])
+            ordered = made[order]
+            group, document = _grouped(ordered)
+            at = np.arange(len(ordered))
+            ends = at[np.r_[group[1:] != group[:-1], True]]
+            last = document[ends[np.searchsorted(ends, at)]]  # where the last document of the gram begins
+            number = np.cumsum(document == at)  # of documents, over all grams
+            frequent = number[last] - number[group] + 1 >= FREQUENT
+            middle = frequent & (document > group) & (document < last)
+            handed = np.empty(len(made), bool)
+            handed[order] = ~middle
+            yield _seeds(made[handed])  # in the order of documents, which compresses better
+            closing = frequent & (document == last)
+            if middle.any():
+                later, earlier = _partners(ordered, at[middle | closing], group, document)
+                own = later[:, 0].view(np.uint64)
+                for i in (1, 2, 3):
+                    own = (own ^ later[:, i].view(np.uint64)) * MIX
+                    own = (own ^ own >> np.uint64(31) ^ earlier[:, i].view(np.uint64)) * MIX
+                own = cut(own ^ own >> np.uint64(29)).view(np.int64)
+                yield _seeds(np.concatenate([np.c_[own, side[:, 1:]] for side in (later, earlier)]))
+
+    return texts.select("doc_id", "digest", "text").mapInArrow(rows, SEED)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over seeds sorted by gram alone: each with its partners. The seeds of one gram are held together: those of fewer
+    than `FREQUENT` documents for each batch."""
+    held = np.empty((0, 4), np.int64)
+
+    def pairs(rows: np.ndarray) -> pa.RecordBatch:
+        rows = rows[np.lexsort(rows.T[::-1])]
+        group, document = _grouped(rows)
+        sides = _partners(rows, np.flatnonzero(document > group), group, document)
+        columns = [pa.array(side[:, i].astype(np.int32) if i == 3 else np.ascontiguousarray(side[:, i])) for side in sides for i in (1, 2, 3)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "at", "from_id", "from_digest", "from_at"])
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)
-        if not edges:
-            edges.append(rows[0])
-        whole, at = np.r_[held, rows], np.arange(len(held) + len(rows))
-        new = np.r_[True, whole[1:, 0] != whole[:-1, 0]]
-        group = np.maximum.accumulate(np.where(new, at, 0))
-        document = np.maximum.accumulate(np.where(new | np.r_[True, (whole[1:, 1:3] != whole[:-1, 1:3]).any(1)], at, 0))
-        later = at[len(held):]
-        later = later[document[later] > group[later]]
-        before = document[later] - 1
-        yield _pairs(whole[later], whole[before])
-        far = (whole[group[later], 1:] != whole[before, 1:]).any(1)
-        yield _pairs(whole[later][far], whole[group[later][far]])
-        held = whole[np.unique([group[-1], max(group[-1], document[-1] - 1), at[-1]])]
-    yield _pairs(np.array([*edges, *held[-2:]]).reshape(-1, 4), None)
-
-
-def _pairs(later: np.ndarray, earlier: np.ndarray | None) -> pa.RecordBatch:
-    left = [pa.array(later[:, i].astype(np.int32) if i == 3 else later[:, i]) for i in range(4)]
-    right = [pa.nulls(len(later), pa.int64())] * 2 + [pa.nulls(len(later), pa.int32())] if earlier is None else [
-        pa.array(earlier[:, 1]), pa.array(earlier[:, 2]), pa.array(earlier[:, 3].astype(np.int32))]
-    return pa.RecordBatch.from_arrays(left + right, names=["gram", "doc_id", "digest", "at", "from_id", "from_digest", "from_at"])
+        whole = np.r_[held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)]
+        open_at = int(np.searchsorted(whole[:, 0], whole[-1, 0])) if len(whole) else 0
+        held = whole[open_at:]
+        if open_at:
+            yield pairs(whole[:open_at])
+    if len(held):
+        yield pairs(held)
 
 
 def seed_pairs(made: DataFrame) -> DataFrame:
-    """Each seed with the previous document's of its gram, and with an early one, in document order.
+    """Each seed of `local_seeds` with the previous document's of its gram, and with the first one's.
 
-    Seeds are sorted over all tasks by gram and document, so that a very frequent gram is spread over
-    tasks; the seeds at the edges of the slices, three for each, are paired in a second step. The pairs
-    of a gram grow with its seeds, not with their square, and connect all its documents.
+    Hashes are even, so a range of them is a partition without a look at the data. The pairs of a gram grow with its seeds,
+    not with their square, and connect all its documents.
     """
-    order = ["gram", "doc_id", "digest", "at"]
+    shards = int(made.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The upper half of the hash, as a share of its range.
+    shard = F.floor(F.shiftrightunsigned("gram", 32) * shards / (1 << 32)).cast("int")
     # Side by side, what differs from row to row leaves the rest to the shuffle's compression.
-    laid = made.select("doc_id", "digest", "gram", "at").repartitionByRange(*order).sortWithinPartitions(*order)
-    found = laid.select(*order).mapInArrow(
-        _ordered_pairs, "gram bigint, doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int")
-    found = keep(found.withColumn("gram", F.when(F.col("from_id").isNull(), F.col("gram"))))  # only the edges need it
-    edges = found.filter(F.col("from_id").isNull()).select(*order).distinct()
-    documents = edges.groupBy(*order[:3]).agg(F.max("at").alias("at"))
-    by_gram = Window.partitionBy("gram").orderBy("doc_id", "digest")
-    before = documents.select(*order[:3], *[F.lag(c).over(by_gram).alias(f) for c, f in zip(order[1:], ("from_id", "from_digest", "from_at"))])
-    last = edges.join(before.filter(F.col("from_id").isNotNull()), order[:3]).select(*found.columns)
-    return found.filter(F.col("from_id").isNotNull()).unionByName(last)
+    laid = made.select("doc_id", "digest", "gram", "at").repartitionById(shards, shard).sortWithinPartitions("gram")
+    return laid.select("gram", "doc_id", "digest", "at").mapInArrow(_met, SEED_PAIR)
 
 
 def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -114,8 +114,8 @@ class _Open:
 class _Walk:
     """One shard's rows in order; `rows` fills with SHARD_ROW tuples."""
 
-    def __init__(self, shard: int, skeleton: Skeleton):
-        self.shard, self.skeleton, self.rows = shard, skeleton, []
+    def __init__(self, shard: int, skeleton: Skeleton, piece: int):
+        self.shard, self.skeleton, self.piece, self.rows = shard, skeleton, piece, []
         self.path, self.open, self.pieces, self.length = b"", [_Open(0, 0)], 0, 0
 
     def add(self, conv: int, path: bytes, sizes: list[int]) -> None:
@@ -134,7 +134,7 @@ class _Walk:
         if node.skeleton >= 0:
             node.ends.append(str(conv))
             self.length += len(node.ends[-1]) + 1
-            if self.length > PIECE:
+            if self.length > self.piece:
                 self.pass_on(node)
         elif node.ends is None:
             node.ends = hashlib.sha256(str(conv).encode())
@@ -186,7 +186,7 @@ class _Walk:
 
 def walked(paths: DataFrame, skeleton: Skeleton) -> DataFrame:
     """Deals the paths to shards by the skeleton's splitters and walks each shard."""
-    shards = len(skeleton.splitters) + 1
+    shards, piece = len(skeleton.splitters) + 1, PIECE
     schema = pa.schema([
         (f.name, {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[f.dataType.simpleString()])
         for f in paths.sparkSession.createDataFrame([], SHARD_ROW).schema])
@@ -208,7 +208,7 @@ def walked(paths: DataFrame, skeleton: Skeleton) -> DataFrame:
                     rows = at.rows if at else []
                     if at:
                         at.end()
-                    at = _Walk(shard, skeleton)
+                    at = _Walk(shard, skeleton, piece)
                     at.rows = rows
                 at.add(conv, path, sizes)
                 if len(at.rows) >= ROWS:

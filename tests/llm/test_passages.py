@@ -1,8 +1,7 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from platterflow.llm import passages, substring_dedup, suffix_dedup
@@ -109,12 +108,60 @@ def test_passage_twice_in_a_document(spark, operator, many_slices):
 def test_seeds_are_paired_with_other_documents():
     rows = [(1, 1, 0, 3), (1, 1, 0, 9), (1, 2, 0, 4), (1, 2, 0, 8), (1, 3, 0, 1), (2, 3, 0, 5), (2, 3, 0, 6), (3, 1, 0, 7)]
     names = ["gram", "doc_id", "digest", "at"]
+    early = (1, 0, 3)
+    want = {(rows[2], (1, 0, 9)), (rows[2], early), (rows[3], (1, 0, 9)), (rows[3], early), (rows[4], (2, 0, 8)), (rows[4], early)}
     for cut in range(len(rows) + 1):
-        parts = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in p]) for p in (rows[:cut], rows[cut:]) if p]
-        out = [tuple(r.values()) for b in passages._ordered_pairs(iter(parts)) for r in b.to_pylist()]
-        pairs = {(r[:4], r[4:]) for r in out if r[4] is not None}
-        early = (1, 0, 3)
-        assert pairs == {(rows[2], (1, 0, 9)), (rows[2], early), (rows[3], (1, 0, 9)), (rows[3], early), (rows[4], (2, 0, 8)), (rows[4], early)}
+        for turn in (1, -1):  # in any order within a gram
+            mixed = sorted(rows[::turn], key=lambda r: r[0])
+            parts = [passages._seeds(np.array(p, np.int64).reshape(-1, 4)) for p in (mixed[:cut], mixed[cut:]) if p]
+            out = [tuple(r.values()) for b in passages._met(iter(parts)) for r in b.to_pylist()]
+            assert {(r[:3], r[3:]) for r in out} == {(later[1:], earlier) for later, earlier in want}
+
+
+def connected(pairs, grams, gram_at):
+    """Whether the pairs connect all documents of each gram."""
+    links = defaultdict(set)
+    for doc, _, at, other, _, other_at in pairs:
+        assert gram_at[doc, at] == gram_at[other, other_at] and doc > other
+        links[gram_at[doc, at]].add((doc, other))
+    for gram, docs in grams.items():
+        seen = {min(docs)}
+        for doc, other in sorted(links[gram]) * 3:
+            if doc in seen or other in seen:
+                seen |= {doc, other}
+        if seen != docs:
+            return False
+    return True
+
+
+def test_pairs_within_and_between_batches_connect_all_documents(spark, monkeypatch):
+    """A gram of every document, one of some, one of two; batches of 3 documents leave at most 2 of a gram to the others."""
+    monkeypatch.setattr(passages, "FREQUENT", 3)
+    r = random.Random(5)
+    common, some = fresh(r, 6), fresh(r, 6)
+    texts = [fresh(r, 5) + common + (some if i % 4 == 0 else fresh(r, 3)) + (common if i % 5 == 0 else []) for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        made = passages.local_seeds(passages.references(docs.coalesce(2)), 5, 32, 64)
+        rows = [tuple(row) for row in made.collect()]
+        every = [tuple(row) for row in passages.seed_pairs(made).collect()]
+    finally:
+        spark.conf.set(key, before)
+    grams, gram_at = defaultdict(set), {}
+    for i, words in enumerate(texts):
+        hashes = passages.gram_hashes(passages.word_hashes([w.encode() for w in words]), 5).view(np.int64)
+        for at, gram in enumerate(hashes.tolist()):
+            grams[gram].add(i)
+            gram_at[i, at] = gram
+    shared = {g: d for g, d in grams.items() if len(d) > 1}
+    assert connected(every, shared, gram_at)
+    handed = Counter(g for g, i in {row[:2] for row in rows})
+    hot = max(shared, key=lambda g: len(shared[g]))
+    assert len(shared[hot]) == 40 and handed[hot] <= 2 * 15 < 40
+    assert len(every) <= 4 * sum(len(t) for t in texts)
 
 
 def edited(r, words, share):
