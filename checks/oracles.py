@@ -663,6 +663,37 @@ ORDER BY station_code, date LIMIT 5""",
 SELECT 'summary' AS section, "stationCode" AS key, CAST("forecastOrders" AS DOUBLE) AS value FROM outlook WHERE "stationCode" = 'R1'
 UNION ALL SELECT 'alert', CAST(date AS VARCHAR), CAST("forecastOrders" AS DOUBLE) FROM alerts
 UNION ALL SELECT 'ranking', food_item, forecast_quantity FROM item_forecast WHERE rank <= 3""",
+    "calendar_from_files": "WITH " + CALENDAR + " SELECT * FROM cal",
+    "published_run": ROUTES + FEATURES[len(PANEL) + 1 + len(CALENDAR):] + "," + ALERTS + f"""
+SELECT '{K.DAILY_MODEL}' AS model, '{K.ROUTE_METHOD.replace("'", "''")}' AS "routeForecastMethod",
+  (SELECT MIN(date) FROM daily) AS "forecastStart", (SELECT MAX(date) FROM daily) AS "forecastEnd", 30 AS "forecastDays",
+  (SELECT COUNT(DISTINCT "stationCode") FROM daily) AS stations, (SELECT COUNT(*) FROM routes) AS routes,
+  (SELECT COUNT(*) FROM alerts) AS alerts, strftime(MIN(date), '%Y-%m-%d') AS "testStart",
+  strftime(MAX(date), '%Y-%m-%d') AS "testEnd", COUNT(*) AS "testRows",
+  round_even(AVG(abs(order_count - rolling_7_demand)), 2) AS mae,
+  round_even(sqrt(AVG((order_count - rolling_7_demand) ** 2)), 2) AS rmse,
+  round_even(1 - SUM((order_count - rolling_7_demand) ** 2) / (var_pop(order_count) * COUNT(*)), 4) AS r2,
+  (SELECT COUNT(*) FROM complete, cut WHERE date <= cutoff) AS "trainingRows"
+FROM complete, cut WHERE date > cutoff""",
+    "published_preview": ROUTES + FEATURES[len(PANEL) + 1 + len(CALENDAR):] + "," + ALERTS + """
+(SELECT 'evaluation' AS section, strftime(MIN(date), '%Y-%m-%d') AS first, strftime(MAX(date), '%Y-%m-%d') AS second,
+  COUNT(*) AS value FROM complete, cut WHERE date > cutoff)
+UNION ALL (SELECT 'metadata', MIN(date), MAX(date), 30 FROM daily)
+UNION ALL (SELECT 'alert', date, "eventName", "forecastOrders" FROM alerts ORDER BY date LIMIT 5)""",
+    "dashboard_metadata": f"""
+SELECT 'Boosted-tree demand trend prototype' AS model,
+  (SELECT MIN(forecast_month) FROM ({LAGGED} SELECT * FROM item_forecast)) AS forecast_month,
+  s.latest_observed_month, '{K.QUALITY_NOTE}' AS data_quality_note, s.cancellation_model_available,
+  '{K.CANCELLED_NOTE}' AS cancellation_note, c.state_mapping_coverage, '{K.STATE_NOTE}' AS state_mapping_note,
+  (SELECT COUNT(DISTINCT month) FROM ({DASHBOARD} SELECT month FROM dash_orders)) AS months,
+  (SELECT COUNT(*) FROM (@station_month_top_items)) AS rankings,
+  (SELECT COUNT(*) FROM (@forecast_enriched)) AS "forecastItems", 'trained' AS cancellation_status
+FROM (@report_summary) s, (@state_coverage) c""",
+    "landed_lines": SQL_PREFIX + """
+SELECT order_status, COUNT(*) AS lines,
+  SUM(quantity) + CASE order_status WHEN 'Delivered' THEN COUNT(*) ELSE 0 END AS quantity FROM lines GROUP BY 1""",
+    "saved_model": FEATURES + """
+SELECT COUNT(*) FILTER (date > cutoff) AS rows, COUNT(*) FILTER (date > cutoff) AS same FROM complete, cut""",
     "daily_model_evaluation": FEATURES + """
 SELECT COUNT(*) FILTER (date > cutoff) AS test_rows, COUNT(*) FILTER (date <= cutoff) AS training_rows, TRUE AS sound
 FROM complete, cut""",
@@ -685,3 +716,7 @@ FROM k_test""",
 SELECT CAST(15 AS BIGINT) AS features, CAST(15 AS BIGINT) AS known, 1.0::DOUBLE AS total, TRUE AS not_negative""",
     "published_best_sellers": TOTALS + " SELECT * FROM winners",
 }
+
+# The record of a run is stated by the results it is made of.
+for _name in ("station_month_top_items", "forecast_enriched", "report_summary", "state_coverage"):
+    ORACLES["dashboard_metadata"] = ORACLES["dashboard_metadata"].replace(f"@{_name}", ORACLES[_name])

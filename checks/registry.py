@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +12,9 @@ from platterflow.operators import (
     cleaning, dashboard, details, horizon, item_demand, items, metrics, monthly, orders, panel, prepare,
     readiness, reports, split,
 )
-from platterflow.plans import learning, publish
-from platterflow.session import keep, pin, shared_folder
-from platterflow.sources import dimensions, exports
+from platterflow.plans import daily_forecast, dashboard_data, learning, publish
+from platterflow.session import keep, own_path, pin
+from platterflow.sources import dimensions, exports, landing, published
 
 # Bookings of the tables end in August 2001, so the monthly job forecasts the year after.
 FORECAST_YEAR = 2002
@@ -464,7 +462,7 @@ def station_drilldown(spark, folder):
 
 def source_lineage(spark, folder):
     """Lines per part of an export that the run writes from all order lines, a folder per status."""
-    path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    path = own_path(spark)
     lines = T.order_lines(spark, folder, T.REPORT).drop("line_order")
     part = F.lower(F.substring("order_status", 1, 3))
     lines.withColumn("part", part).write.partitionBy("part").option("header", True).option("escape", '"').csv(path)
@@ -476,7 +474,7 @@ def source_lineage(spark, folder):
 def csv_round_trip(spark, folder):
     """All order lines written to CSV files of two headers, with quotes and line breaks in cells,
     read back and counted per item."""
-    path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    path = own_path(spark)
     lines = T.order_lines(spark, folder, T.REPORT).drop("line_order")
     odd = F.concat("item_name", F.lit(' "'), "order_status", F.lit('",\nnext line'))
     lines = lines.withColumn("item_name", odd)
@@ -529,7 +527,7 @@ def published_lookups(spark, folder):
 
 def published_best_sellers(spark, folder):
     """Best sellers written as CSV and as JSON records, read back and joined."""
-    path = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
+    path = own_path(spark)
     winners = pin(reports.best_sellers(_totals(spark, folder)))
     publish.write_csv(winners, f"{path}/csv")
     publish.write_json(winners, f"{path}/json")
@@ -538,6 +536,75 @@ def published_best_sellers(spark, folder):
     return listed.join(records, ["month", "top_seller", "units_sold"])
 
 
+def calendar_from_files(spark, folder):
+    """The calendar written to CSV files in the order of its rows, and read from them."""
+    path = own_path(spark)
+    publish.write_csv(T.calendar_rows(spark, folder).orderBy("row_order").drop("row_order"), path)
+    return dimensions.collapse_calendar(dimensions.read_calendar(spark, path))
+
+
+def _published_daily(spark, folder) -> str:
+    """A daily run without a model, published; returns the folder."""
+    path = own_path(spark)
+    cube = keep(_cube(spark, folder))
+    days, calendar = pin(panel.station_days(cube)), pin(_calendar(spark, folder))
+    train, test = split.split_last_days(pin(panel.complete_days(panel.daily_features(days, calendar))))
+    span = test.agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    evaluation = metrics.regression_metrics(test, "order_count", "rolling_7_demand").select(
+        F.date_format(span.select("start").scalar(), "yyyy-MM-dd").alias("testStart"),
+        F.date_format(span.select("end").scalar(), "yyyy-MM-dd").alias("testEnd"), "rmse", "mae", "r2",
+        train.agg(F.count(F.lit(1))).scalar().alias("trainingRows"), F.col("rows").alias("testRows"))
+    result = daily_forecast.assemble(cube, horizon.forecast_by_formula(days, calendar), pin(evaluation))
+    counters = daily_forecast.write(result, path)
+    publish.write_json(counters, f"{path}/counters")
+    return path
+
+
+def published_run(spark, folder):
+    """The metadata of a published daily run, read back through its manifest, with the counters the run returns."""
+    path = _published_daily(spark, folder)
+    counters = spark.read.json(f"{path}/counters").select("stations", "routes", "alerts", "evaluation.*")
+    return published.read_section(spark, path, "metadata").crossJoin(F.broadcast(counters))
+
+
+def published_preview(spark, folder):
+    """The first rows of the evaluation, the metadata and the alerts, as a reader of the published sections sees them."""
+    path = _published_daily(spark, folder)
+    evaluation = published.read_section(spark, path, "evaluation").select(
+        F.lit("evaluation").alias("section"), F.col("testStart").alias("first"), F.col("testEnd").alias("second"), F.col("testRows").alias("value"))
+    metadata = published.read_section(spark, path, "metadata").select(F.lit("metadata"), "forecastStart", "forecastEnd", "forecastDays")
+    alerts = reports.preview(published.read_section(spark, path, "eventAlerts"), ["date"]).select(
+        F.lit("alert"), "date", "eventName", "forecastOrders")
+    return evaluation.union(metadata).union(alerts)
+
+
+def dashboard_metadata(spark, folder):
+    """The dashboard's record of a run whose station map and item forecast are files of earlier jobs, read back."""
+    path = own_path(spark)
+    publish.write_csv(_item_forecast(spark, folder), f"{path}/forecast")
+    publish.write_csv(T.state_rows(spark, folder).orderBy("n_nationkey").drop("n_nationkey"), f"{path}/map")
+    publish.write_json(spark.sql("SELECT 'trained' AS status"), f"{path}/metrics")
+    sections = dashboard_data.run(
+        T.order_lines(spark, folder, T.BOOKED + T.STATIONS + ("item_name", "outlet_name")),
+        dimensions.read_item_forecast(spark, f"{path}/forecast"), f"{path}/map")
+    counters = dashboard_data.write(sections, f"{path}/out", f"{path}/metrics").drop("output")
+    record = published.read_section(spark, f"{path}/out", "metadata")
+    passed_on = dimensions.read_payload(spark, f"{path}/out/cancellationModel").select(F.col("status").alias("cancellation_status"))
+    return record.crossJoin(F.broadcast(counters)).crossJoin(F.broadcast(passed_on))
+
+
+def landed_lines(spark, folder):
+    """All order lines exported, landed, exported in part once more, and landed again: lines and units per status."""
+    path = own_path(spark)
+    lines = T.order_lines(spark, folder, T.REPORT).drop("line_order")
+    for status in ("Delivered", "Partially Delivered", "Cancelled by customer"):
+        publish.write_csv(lines.filter(F.col("order_status") == status), f"{path}/in/{status[:3]}")
+        landing.land(spark, f"{path}/in/*/*.csv", f"{path}/store")
+    publish.write_csv(lines.filter("order_status = 'Delivered'").withColumn("quantity", F.col("quantity") + 1), f"{path}/in/Del")
+    read = landing.lines(spark, f"{path}/in/*/*.csv", f"{path}/store")
+    return read.groupBy("order_status").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"))
+
+
 # --- fitted models -----------------------------------------------------------------------------
 
 def _daily_model(frame: DataFrame) -> learning.FittedModel:
@@ -558,6 +625,18 @@ def daily_model_evaluation(spark, folder):
         ((F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("sound"))
 
 
+def saved_model(spark, folder):
+    """Rows the published model scores after it was saved and loaded, and whether each score is as before."""
+    path = own_path(spark)
+    train, test = split.split_last_days(pin(panel.complete_days(_features(spark, folder))))
+    model = _daily_model(train)
+    model.save(path)
+    before = model.score(test).select("station_code", "date", F.col("prediction").alias("before"))
+    after = learning.FittedModel.load(spark, path).score(test)
+    return after.join(before, ["station_code", "date"]).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction") == F.col("before")).alias("same"))
+
+
 def recursive_forecast_boosted(spark, folder):
     """What the published model's horizon holds whatever its trees: days, events, no negative demand."""
     days, calendar = pin(_panel(spark, folder)), pin(_calendar(spark, folder))
@@ -644,7 +723,8 @@ QUERIES = {
         global_items, state_coverage, station_template, monthly_best_seller, report_summary, kpi_strip,
         report_stations, top_stations, top_routes, route_line, alert_line, monthly_demand_series,
         station_drilldown, month_drilldown, published_lookups, line_profile, order_profile, feature_preview,
-        record_preview, csv_round_trip, source_lineage, published_best_sellers, daily_model_evaluation,
+        record_preview, csv_round_trip, source_lineage, published_best_sellers, calendar_from_files, published_run,
+        published_preview, dashboard_metadata, landed_lines, daily_model_evaluation, saved_model,
         recursive_forecast_boosted, monthly_station_forecast_boosted, item_forecast_boosted,
         cancellation_model, feature_importance,
     )

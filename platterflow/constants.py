@@ -143,7 +143,7 @@ CANCELLED_NOTE = ("Cancelled orders are available. A cancellation-risk model can
                   "ETA lead time, station, vendor, item, price, and discount.")
 NOT_CANCELLED_NOTE = ("No cancelled orders were found in the supplied data, so cancellation-risk training "
                       "is unavailable.")
-STATE_NOTE = "Fill the station map's state column to enable station-specific state-holiday features."
+STATE_NOTE = "State holidays count for a station once its row of the station map names a state."
 DRIVERS = (
     " years of same-month station history",
     ("%d reference volume: ", " orders"),

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-UNITS = "decimal(18,6)"
+# Amounts of up to 24 digits before the point. A larger one is no amount of an order: it counts as missing.
+MONEY = "decimal(28,4)"
+UNITS = "decimal(30,6)"
 
 
 def rows() -> Column:
@@ -21,8 +22,8 @@ def rows() -> Column:
 
 
 def exact_sum(amount: Column) -> Column:
-    """Decimal sum of amounts with up to four decimals, null when every amount is missing."""
-    return F.sum(amount.cast(MONEY))
+    """Decimal sum of amounts rounded to four decimals, null when every amount is missing."""
+    return F.sum(amount.try_cast(MONEY))
 
 
 def money_sum(amount: Column) -> Column:
@@ -36,8 +37,8 @@ def money_rollup(subtotal: Column) -> Column:
 
 
 def exact_units(quantity: Column) -> Column:
-    """Decimal sum of quantities with up to six decimals, null when every quantity is missing."""
-    return F.sum(quantity.cast(UNITS))
+    """Decimal sum of quantities rounded to six decimals, null when every quantity is missing."""
+    return F.sum(quantity.try_cast(UNITS))
 
 
 def units_sum(quantity: Column) -> Column:

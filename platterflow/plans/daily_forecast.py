@@ -64,6 +64,11 @@ def run(
         panel.daily_features(station_days, calendar, lagged_capacity)))
     evaluation = evaluate(*split.split_last_days(features), trees)
     forecast = horizon.forecast_by_model(station_days, calendar, fit(features, trees), days)
+    return assemble(cube, forecast, evaluation, days)
+
+
+def assemble(cube: DataFrame, forecast: DataFrame, evaluation: DataFrame, days: int = K.HORIZON_DAYS) -> DailyForecast:
+    """The published tables from the cube of visits, the forecast of its stations, and the errors of its model."""
     daily = pin(readiness.daily_readiness(forecast))
     shares = readiness.route_shares(pin(readiness.route_days(cube)))
     metadata = daily.agg(

@@ -36,7 +36,7 @@ def run(lines: DataFrame, forecast: DataFrame, station_map: str, code_fallback:
     if not exists(spark, station_map):
         publish.write_missing_csv(
             dimensions.station_template(cube).orderBy("station_code", "station"), station_map)
-    states = dimensions.station_states(dimensions.read_station_map(spark, station_map))
+    states = dimensions.read_station_states(spark, station_map)
     history = pin(dashboard.item_history(pin(dashboard.item_month_units(cube))))
     enriched = pin(dashboard.enriched_forecast(forecast, history))
     return {

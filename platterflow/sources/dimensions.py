@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platterflow import constants as K
 from platterflow.functions import coerce
 from platterflow.functions.aggregates import first_row
-from platterflow.sources.exports import exists
+from platterflow.sources.exports import exists, read_exports
 from platterflow.sources.published import resolve
 
 CALENDAR_SCHEMA = (
@@ -21,12 +21,10 @@ ITEM_FORECAST_SCHEMA = (
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
-    """Calendar rows as text, with the order of the rows; no rows when the file is absent."""
+    """Calendar rows as text, with the order of the rows over all files; no rows when the path is absent."""
     if not exists(spark, path):
         return spark.createDataFrame([], "date string, row_order bigint")
-    rows = spark.read.option("header", True).csv(path)
-    cells = [F.when(~F.col(c).isin(*K.MISSING_TEXT), F.col(c)).alias(c) for c in rows.columns]
-    return rows.select(*cells, F.monotonically_increasing_id().alias("row_order"))
+    return read_exports(spark, path).drop("line_file").withColumnRenamed("line_order", "row_order")
 
 
 def collapse_calendar(rows: DataFrame) -> DataFrame:
@@ -69,6 +67,11 @@ def read_station_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path).na.fill("")
 
 
+def read_station_states(spark: SparkSession, path: str) -> DataFrame:
+    """One state per station code, the first that the map lists."""
+    return station_states(read_exports(spark, path).na.fill("", ["state"]), "line_order")
+
+
 def station_template(lines: DataFrame) -> DataFrame:
     """Distinct stations with an empty state, for a user to fill in."""
     return lines.select("station_code", F.col("station").alias("station")).distinct().withColumn(

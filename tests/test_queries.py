@@ -12,7 +12,7 @@ FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # These fit a model, for which the smallest scale has too few rows.
 MODELS = ("daily_model_evaluation", "recursive_forecast_boosted", "monthly_station_forecast_boosted",
-          "item_forecast_boosted", "cancellation_model", "feature_importance")
+          "item_forecast_boosted", "cancellation_model", "feature_importance", "saved_model")
 
 
 def both_sides(spark, name, folder):
