@@ -5,7 +5,9 @@ A document is referred to by its id and a hash of its text; rows that agree in b
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,24 +103,60 @@ def _partners(rows: np.ndarray, later: np.ndarray, group: np.ndarray, document:
     return rows[np.r_[later, later[far]]], rows[np.r_[before, group[later[far]]]]
 
 
-SEED = "gram bigint, doc_id bigint, digest bigint, at int"
 SEED_PAIR = "doc_id bigint, digest bigint, at int, from_id bigint, from_digest bigint, from_at int"
+# Bytes of text whose seeds one task sorts at once, about.
+SHARD_BYTES = 24 << 20
+
+
+def distinct_references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`references` whose digest is 0 unless several texts have the id, since few columns differ less than many."""
+    texts = references(docs, id_col, text_col)
+    several = texts.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
+    several = keep(several.select("doc_id", F.lit(True).alias("several")))
+    count = several.count()
+    if not count:
+        return texts.withColumn("digest", F.lit(0).cast("bigint"))
+    return texts.join(small_side(several, count), "doc_id", "left").select(
+        "doc_id", F.when(F.col("several"), F.col("digest")).otherwise(F.lit(0)).alias("digest"), "text")
+
+
+def packed_seeds(rows: np.ndarray) -> bytes:
+    """Seeds (gram, doc_id, digest, at) in the order of documents: six bytes of each gram, and the rest compressed."""
+    fresh = np.flatnonzero(np.r_[True, (rows[1:, 1:3] != rows[:-1, 1:3]).any(1)])
+    counts = np.diff(np.r_[fresh, len(rows)])
+    steps = np.diff(rows[:, 3], prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4)
+    ids = np.diff(rows[fresh, 1], prepend=0)
+    rest = zlib.compress(b"".join([ids.astype("<i8").tobytes(), rows[fresh, 2].astype("<i8").tobytes(), counts.astype("<u4").tobytes(),
+                                   np.ascontiguousarray(steps.T).tobytes()]), 1)
+    grams = np.ascontiguousarray(rows[:, 0].astype("<i8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+    return len(fresh).to_bytes(4, "little") + len(rows).to_bytes(4, "little") + grams + rest
+
+
+def unpacked_seeds(blob: bytes) -> np.ndarray:
+    documents, count = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
+    out = np.empty((count, 4), np.int64)
+    grams = np.zeros((count, 8), np.uint8)
+    grams[:, 2:] = np.frombuffer(blob, np.uint8, 6 * count, 8).reshape(-1, 6)
+    rest = zlib.decompress(blob[8 + 6 * count:])
+    counts = np.frombuffer(rest, "<u4", documents, 16 * documents)
+    out[:, 0] = grams.view("<i8")[:, 0]
+    out[:, 1] = np.repeat(np.cumsum(np.frombuffer(rest, "<i8", documents)), counts)
+    out[:, 2] = np.repeat(np.frombuffer(rest, "<i8", documents, 8 * documents), counts)
+    steps = np.ascontiguousarray(np.frombuffer(rest, np.uint8, 4 * count, 20 * documents).reshape(4, -1).T).view("<i4")[:, 0]
+    out[:, 3] = np.cumsum(steps)
+    return out
 
 
-def _seeds(rows: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)] + [pa.array(rows[:, 3].astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, names=["gram", "doc_id", "digest", "at"])
-
-
-def local_seeds(texts: DataFrame, size: int, period: int, bits: int) -> DataFrame:
-    """Seeds of whole documents at all places, (gram, doc_id, digest, at); `gram` keeps the first `bits` bits of the hash.
+def local_seeds(texts: DataFrame, size: int, period: int, shards: int) -> DataFrame:
+    """Seeds of whole documents at all places, (shard, blob): those of a batch of documents whose grams lie in one share of the
+    hashes' range, packed. A gram is the first 48 bits of its hash.
 
     Where `FREQUENT` or more documents of a batch have a gram, only the first and the last of them hand it to other batches: a
     gram that a third of all documents have leaves a batch as two documents' seeds. The documents between are paired here, with
     the one before and the first: a pair is two seeds of a gram of its own.
     """
     def cut(grams: np.ndarray) -> np.ndarray:
-        return grams >> np.uint64(64 - bits) << np.uint64(64 - bits)
+        return grams >> np.uint64(16) << np.uint64(16)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,65 +170,84 @@ def local_seeds(texts: DataFrame, size: int, period: int, bits: int) -> DataFram
             made = np.concatenate(parts) if parts else np.empty((0, 4), np.int64)
             if not len(made):
                 continue
-            order = np.lexsort(made.T[::-1])
+            order = _shared(made[:, 0])
+            order = order[np.lexsort(made[order].T[::-1])]
             ordered = made[order]
-            group, document = _grouped(ordered)
-            at = np.arange(len(ordered))
-            ends = at[np.r_[group[1:] != group[:-1], True]]
-            last = document[ends[np.searchsorted(ends, at)]]  # where the last document of the gram begins
-            number = np.cumsum(document == at)  # of documents, over all grams
-            frequent = number[last] - number[group] + 1 >= FREQUENT
-            middle = frequent & (document > group) & (document < last)
-            handed = np.empty(len(made), bool)
-            handed[order] = ~middle
-            yield _seeds(made[handed])  # in the order of documents, which compresses better
-            closing = frequent & (document == last)
-            if middle.any():
-                later, earlier = _partners(ordered, at[middle | closing], group, document)
-                own = later[:, 0].view(np.uint64)
-                for i in (1, 2, 3):
-                    own = (own ^ later[:, i].view(np.uint64)) * MIX
-                    own = (own ^ own >> np.uint64(31) ^ earlier[:, i].view(np.uint64)) * MIX
-                own = cut(own ^ own >> np.uint64(29)).view(np.int64)
-                yield _seeds(np.concatenate([np.c_[own, side[:, 1:]] for side in (later, earlier)]))
-
-    return texts.select("doc_id", "digest", "text").mapInArrow(rows, SEED)
+            handed = np.ones(len(made), bool)
+            if len(ordered):
+                group, document = _grouped(ordered)
+                at = np.arange(len(ordered))
+                ends = at[np.r_[group[1:] != group[:-1], True]]
+                last = document[ends[np.searchsorted(ends, at)]]  # where the last document of the gram begins
+                number = np.cumsum(document == at)  # of documents, over all grams
+                frequent = number[last] - number[group] + 1 >= FREQUENT
+                middle = frequent & (document > group) & (document < last)
+                handed[order] = ~middle
+                if middle.any():
+                    later, earlier = _partners(ordered, at[middle | frequent & (document == last)], group, document)
+                    own = later[:, 0].view(np.uint64)
+                    for i in (1, 2, 3):
+                        own = (own ^ later[:, i].view(np.uint64)) * MIX
+                        own = (own ^ own >> np.uint64(31) ^ earlier[:, i].view(np.uint64)) * MIX
+                    own = cut(own ^ own >> np.uint64(29)).view(np.int64)
+                    made = np.concatenate([made[handed], *(np.c_[own, side[:, 1:]] for side in (later, earlier))])
+            share = ((made[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
+            by_share = np.argsort(share, kind="stable")
+            made, share = made[by_share], share[by_share]
+            cuts = np.flatnonzero(np.diff(share)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(made)]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(share[low:low + 1]), pa.array([packed_seeds(made[low:high])], pa.binary())], names=["shard", "blob"])
+
+    return texts.select("doc_id", "digest", "text").mapInArrow(rows, "shard int, blob binary")
+
+
+def _shared(grams: np.ndarray) -> np.ndarray:
+    """Places of the grams that occur twice or more, in the order of grams."""
+    order = np.argsort(grams)
+    same = grams[order[1:]] == grams[order[:-1]]
+    return order[np.r_[False, same] | np.r_[same, False]]
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over seeds sorted by gram alone: each with its partners. The seeds of one gram are held together: those of fewer
-    than `FREQUENT` documents for each batch."""
-    held = np.empty((0, 4), np.int64)
-
-    def pairs(rows: np.ndarray) -> pa.RecordBatch:
+    """Over packed seeds sorted by shard: each seed with its partners, a shard at a time."""
+    def pairs(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate([unpacked_seeds(b) for b in blobs])
+        rows = rows[_shared(rows[:, 0])]
+        if not len(rows):
+            return
         rows = rows[np.lexsort(rows.T[::-1])]
         group, document = _grouped(rows)
         sides = _partners(rows, np.flatnonzero(document > group), group, document)
-        columns = [pa.array(side[:, i].astype(np.int32) if i == 3 else np.ascontiguousarray(side[:, i])) for side in sides for i in (1, 2, 3)]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "at", "from_id", "from_digest", "from_at"])
+        for low in range(0, len(sides[0]), 1 << 18):
+            columns = [pa.array(side[low:low + (1 << 18), i].astype(np.int32 if i == 3 else np.int64)) for side in sides for i in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "at", "from_id", "from_digest", "from_at"])
 
+    shard, held = None, []
     for batch in batches:
-        whole = np.r_[held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], 1)]
-        open_at = int(np.searchsorted(whole[:, 0], whole[-1, 0])) if len(whole) else 0
-        held = whole[open_at:]
-        if open_at:
-            yield pairs(whole[:open_at])
-    if len(held):
-        yield pairs(held)
-
-
-def seed_pairs(made: DataFrame) -> DataFrame:
-    """Each seed of `local_seeds` with the previous document's of its gram, and with the first one's.
-
-    Hashes are even, so a range of them is a partition without a look at the data. The pairs of a gram grow with its seeds,
-    not with their square, and connect all its documents.
+        for of, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if of != shard and held:
+                yield from pairs(held)
+                held = []
+            shard = of
+            held.append(blob)
+    if held:
+        yield from pairs(held)
+
+
+def seed_pairs(texts: DataFrame, size: int, period: int) -> DataFrame:
+    """Each seed with the previous document's of its gram, and with the first one's.
+
+    Hashes are even, so an equal share of their range is a shard without a look at the data; there are as many shards as bound
+    what a task sorts, whatever the number of partitions. The pairs of a gram grow with its seeds, not with their square, and
+    connect all its documents.
     """
-    shards = int(made.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The upper half of the hash, as a share of its range.
-    shard = F.floor(F.shiftrightunsigned("gram", 32) * shards / (1 << 32)).cast("int")
-    # Side by side, what differs from row to row leaves the rest to the shuffle's compression.
-    laid = made.select("doc_id", "digest", "gram", "at").repartitionById(shards, shard).sortWithinPartitions("gram")
-    return laid.select("gram", "doc_id", "digest", "at").mapInArrow(_met, SEED_PAIR)
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    shards = partitions * max(1, math.ceil(held / (partitions * SHARD_BYTES)))
+    made = local_seeds(texts, size, period, shards)
+    dealt = made.repartitionById(partitions, (F.col("shard") % partitions).cast("int")).sortWithinPartitions("shard")
+    return dealt.mapInArrow(_met, SEED_PAIR)
 
 
 def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from platterflow.llm import passages, substring_dedup, suffix_dedup
@@ -110,14 +111,22 @@ def test_seeds_are_paired_with_other_documents():
     names = ["gram", "doc_id", "digest", "at"]
     early = (1, 0, 3)
     want = {(rows[2], (1, 0, 9)), (rows[2], early), (rows[3], (1, 0, 9)), (rows[3], early), (rows[4], (2, 0, 8)), (rows[4], early)}
-    for cut in range(len(rows) + 1):
-        for turn in (1, -1):  # in any order within a gram
-            mixed = sorted(rows[::turn], key=lambda r: r[0])
-            parts = [passages._seeds(np.array(p, np.int64).reshape(-1, 4)) for p in (mixed[:cut], mixed[cut:]) if p]
-            out = [tuple(r.values()) for b in passages._met(iter(parts)) for r in b.to_pylist()]
+    for cut in range(1, len(rows)):
+        for parts in (rows[:cut], rows[cut:]), (rows[cut:], rows[:cut]):  # in any order of batches
+            blobs = [passages.packed_seeds(np.array(sorted(p, key=lambda r: (r[1], r[3])), np.int64) * [1 << 16, 1, 1, 1]) for p in parts]
+            batch = pa.RecordBatch.from_arrays([pa.array([0] * 2, pa.int32()), pa.array(blobs)], names=["shard", "blob"])
+            out = [tuple(r.values()) for b in passages._met(iter([batch])) for r in b.to_pylist()]
             assert {(r[:3], r[3:]) for r in out} == {(later[1:], earlier) for later, earlier in want}
 
 
+def test_seeds_are_packed_without_loss():
+    r = np.random.default_rng(3)
+    for count in (1, 2, 500):
+        rows = np.stack([r.integers(-(1 << 47), 1 << 47, count) << 16, np.sort(r.choice([passages.NULL_ID, 0, 5, 2**62], count)),
+                         r.choice([0, -7, 2**63 - 1], count), r.integers(0, 2**31 - 1, count)], 1)
+        assert (passages.unpacked_seeds(passages.packed_seeds(rows)) == rows).all()
+
+
 def connected(pairs, grams, gram_at):
     """Whether the pairs connect all documents of each gram."""
     links = defaultdict(set)
@@ -145,9 +154,9 @@ def test_pairs_within_and_between_batches_connect_all_documents(spark, monkeypat
     before = spark.conf.get(key)
     spark.conf.set(key, "3")
     try:
-        made = passages.local_seeds(passages.references(docs.coalesce(2)), 5, 32, 64)
-        rows = [tuple(row) for row in made.collect()]
-        every = [tuple(row) for row in passages.seed_pairs(made).collect()]
+        known = passages.references(docs.coalesce(2))
+        blobs = [row.blob for row in passages.local_seeds(known, 5, 32, 4).collect()]
+        every = [tuple(row) for row in passages.seed_pairs(known, 5, 32).collect()]
     finally:
         spark.conf.set(key, before)
     grams, gram_at = defaultdict(set), {}
@@ -158,9 +167,9 @@ def test_pairs_within_and_between_batches_connect_all_documents(spark, monkeypat
             gram_at[i, at] = gram
     shared = {g: d for g, d in grams.items() if len(d) > 1}
     assert connected(every, shared, gram_at)
-    handed = Counter(g for g, i in {row[:2] for row in rows})
+    handed = Counter(g for g, i in {tuple(row) for blob in blobs for row in passages.unpacked_seeds(blob)[:, :2].tolist()})
     hot = max(shared, key=lambda g: len(shared[g]))
-    assert len(shared[hot]) == 40 and handed[hot] <= 2 * 15 < 40
+    assert len(shared[hot]) == 40 and 0 < handed[hot >> 16 << 16] <= 2 * 15 < 40
     assert len(every) <= 4 * sum(len(t) for t in texts)
 
 
