@@ -19,6 +19,7 @@ own. The result does not depend on other columns. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -28,12 +29,14 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from platterflow.llm.bpe import byte_letters
 from platterflow.llm.common import id_and_text
-from platterflow.llm.words import Remembered, Splitter
+from platterflow.llm.words import BEYOND, LETTERS, NUMBERS, SPACES, Remembered, Splitter
 from platterflow.session import keep
 
 WINDOW = 2048
@@ -43,6 +46,8 @@ PIECES_PER_PACKER = 4096
 SLACK = 8
 GRAIN = 256
 REMEMBERED = 150_000
+# Words and gaps that go piece by piece.
+LONG_WORD, LONG_GAP = 256, 64
 # The pattern that splits text before byte-level merges.
 PATTERN = " ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, front_crc32 bigint, rest_crc32 bigint"
@@ -52,8 +57,9 @@ SLOTS = f"{PIECE}, packer bigint, window bigint, offset bigint, fill bigint"
 class IdBytes:
     """The ids of a text as little-endian 32-bit numbers, by the tokenizer of a file.
 
-    No merge crosses the pieces that the tokenizer's pattern makes, so each piece is encoded once
-    by the tokenizer and then remembered. Special tokens are found first, as the tokenizer does.
+    Special tokens are found first, as the tokenizer does. A text of characters up to U+017F without very long words is encoded
+    as a whole from the file's vocabulary as ranks, which gives the same ids if they follow the merges, as is checked. For other
+    texts, each piece that the tokenizer's pattern makes, which no merge crosses, is encoded by the tokenizer and remembered.
     """
 
     def __init__(self, path: str):
@@ -64,16 +70,38 @@ class IdBytes:
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         self.split = Splitter(PATTERN)
         self.pieces = Remembered(self._encode, REMEMBERED)
+        self.ranks = self._as_ranks(path)
+        self.gap = re.compile(f"[{SPACES}]{{{LONG_GAP}}}")
+
+    @staticmethod
+    def _as_ranks(path: str) -> tiktoken.Encoding | None:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        letters = {letter: byte for byte, letter in enumerate(byte_letters())}
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        vocabulary = [*(letter for letter in letters), *(a + b for a, b in merges)]
+        ids = [model["vocab"].get(token) for token in vocabulary]
+        if sorted(ids[:256]) != list(range(256)) or ids[256:] != list(range(256, len(ids))):
+            return None
+        ranks = {bytes(letters[c] for c in token): i for token, i in zip(vocabulary, ids)}
+        pattern = PATTERN.replace("{L}", LETTERS).replace("{N}", NUMBERS).replace("{S}", SPACES)
+        return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def _encode(self, piece: str) -> bytes:
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
+    def _plain(self, text: str) -> bool:
+        return (self.ranks is not None and not BEYOND.search(text) and max(map(len, text.split()), default=0) < LONG_WORD
+                and not self.gap.search(text))
+
     def __call__(self, text: str) -> bytes:
         found: list[bytes] = []
         segments = self.cut.split(text) if "<" in text else [text]
         for at, segment in enumerate(segments):
             if at % 2:
                 found.append(self.special[segment])
+            elif self._plain(segment):
+                found.append(self.ranks.encode_to_numpy(segment, disallowed_special=()).astype("<u4").tobytes())
             else:
                 found += map(self.pieces.__getitem__, self.split(segment))
         return b"".join(found)
@@ -88,7 +116,7 @@ def id_bytes(path: str) -> IdBytes:
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of at most `window` tokens; only the last of a document may be shorter.
 
-    A piece comes with the checksums of its two parts, if it should be cut before the last `length % GRAIN` tokens.
+    A shorter piece comes with the checksums of its two parts, if it should be cut before the last `length % GRAIN` tokens.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = id_bytes(path), array("I", [END_ID]).tobytes()
@@ -99,8 +127,12 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[start * 4:(start + window) * 4]
+                    if len(part) == 4 * window:  # is a sequence, and never cut
+                        out.append((doc, start, window, zlib.crc32(part), total, 0, 0))
+                        continue
                     cut = len(part) - len(part) % (4 * GRAIN)
-                    out.append((doc, start, len(part) // 4, zlib.crc32(part), total, zlib.crc32(part[:cut]), zlib.crc32(part[cut:])))
+                    front = zlib.crc32(part[:cut])
+                    out.append((doc, start, len(part) // 4, zlib.crc32(part[cut:], front), total, front, zlib.crc32(part[cut:])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in zip(*out)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "front_crc32", "rest_crc32"])
@@ -154,7 +186,8 @@ def _placed(loose: DataFrame, window: int, per_packer: int) -> DataFrame:
         return frame.assign(window=where, offset=offsets, fill=np.array(fills, np.int64)[where])
 
     packers = F.greatest(F.lit(1), F.ceil(loose.select(F.count(F.lit(1))).scalar() / per_packer))
-    key = F.xxhash64("doc_id", "start", "length", "ids_crc32")
+    # The place of a row in the stored table, so that equal rows, however many, are dealt over all packers.
+    key = F.xxhash64("doc_id", "start", "length", "ids_crc32", F.monotonically_increasing_id())
     return loose.withColumn("packer", F.pmod(key, packers).cast("bigint")).groupBy("packer").applyInPandas(rows, SLOTS)
 
 

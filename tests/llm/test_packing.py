@@ -1,5 +1,6 @@
 import random
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -85,3 +86,24 @@ def test_pieces_without_the_library(spark):
     for _ in range(3000):
         text = "".join(r.choice(letters) for _ in range(r.randint(0, 40)))
         assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_third_of_equal_rows_is_dealt_over_all_packers(spark):
+    rows = [(None, "")] * 1000 + [(i, "a b c " * (i % 50)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    loose = packing.keep(packing.pieces(docs, PATH))
+    sizes = [r["count"] for r in packing._placed(loose, 2048, 50).groupBy("packer").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 60 and max(sizes) < 3 * 50
+
+
+def test_texts_of_all_kinds_have_the_tokenizers_ids():
+    tokenizer, encode = Tokenizer.from_file(PATH), packing.IdBytes(PATH)
+    assert encode.ranks is not None
+    r = random.Random(3)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "a", "bc", "The", "é", "日本", "1", "'s", "...", "<|endoftext|>", "<", "\xa0", " ", "\x85", "\x1f", "🤖", "ſ",
+             "ǅ", "²", "x" * 400, " " * 90]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
+        assert encode(text) == array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    long = "ab" * 200_000
+    assert encode(long) == array("I", tokenizer.encode(long, add_special_tokens=False).ids).tobytes()
