@@ -22,6 +22,8 @@ fingerprints have likeness 1. Other columns are not read. An empty table gives n
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,20 +39,31 @@ ANCHORS = """a an and are as at be by for from in is it of on that the this to w
     das dem den der des die ein eine für im ist mit nicht sich und von zu
     au avec dans de du est et la le les pour que qui sur un une
     al con del el en es las los para por se su y""".split()
-_ANY = "(?:" + "|".join(sorted(ANCHORS, key=len, reverse=True)) + ")(?![^ ])"
-_SKIPPED = f"(?: {_ANY})*+"
-_SPOT = f"(?<![^ ])(?=({_ANY}{_SKIPPED} [^ ]++(?:{_SKIPPED} [^ ]++){{0,{CHAIN - 1}}})){_ANY}"
-_CHAIN = f"(?<![^ ])(?=([^ ]++(?: [^ ]++){{0,{CHAIN}}}))[^ ]++"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def signatures(text: Column) -> Column:
-    """The sorted set of 32-bit signature hashes."""
-    words = F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "))
-    spots = F.regexp_extract_all(words, F.lit(_SPOT), F.lit(1))
-    # Of the chain, the anchor stays and the common words between go.
-    chains = F.transform(spots, lambda s: F.regexp_replace(s, f" {_ANY}", ""))
-    every = F.regexp_extract_all(words, F.lit(_CHAIN), F.lit(1))
-    chosen = F.when(F.size(spots) > 0, chains).otherwise(every)
+    """The sorted set of 32-bit signature hashes, in time linear in the text."""
+    def chains(words: Column, content: Column) -> Column:
+        places = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*ANCHORS), i)), lambda i: i.isNotNull())
+        # Before the j-th anchor, at place i, stand i - j content words, so the chain goes on with the one of that number.
+        found = F.transform(places, lambda i, j: F.when(
+            i - j < F.size(content), F.concat_ws(" ", F.get(words, i), *[F.get(content, i - j + k) for k in range(CHAIN)])))
+        return F.filter(found, lambda s: s.isNotNull())
+
+    def every(words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k + 1) for k in range(CHAIN)]))
+
+    def of_words(words: Column) -> Column:
+        spots = _let(F.filter(words, lambda w: ~w.isin(*ANCHORS)), lambda content: chains(words, content))
+        return _let(spots, lambda found: F.when(F.size(found) > 0, found).otherwise(every(words)))
+
+    split = F.filter(F.split(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "), " "), lambda w: w != "")
+    chosen = _let(split, of_words)
     return F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.shiftrightunsigned(F.xxhash64(s), 32))))
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -62,3 +63,12 @@ def test_pruning_and_length_parts(spark):
     sizes = spark.range(1, 200).selectExpr("id", "sequence(1, id) AS s")
     parts = {r.id: r.p for r in sizes.select("id", spotsigs.length_part(sizes.s).alias("p")).collect()}
     assert all(parts[b] - parts[a] <= 1 for a in parts for b in parts if a <= b and a >= 0.8 * b)
+
+
+@pytest.mark.parametrize("text, count", [
+    ("the " * 250_000 + "cat sat", 1), ("the cat " * 125_000, 2), ("word " * 200_000, 3), ("the " * 300_000, 3)])
+def test_long_texts_take_linear_time(spark, text, count):
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.perf_counter()
+    found = frame.select(spotsigs.signatures(frame.text).alias("s")).first().s
+    assert time.perf_counter() - start < 30 and len(found) == count
