@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from platterflow.functions import coerce, dates, scores
+from platterflow.functions import aggregates, coerce, dates, scores
 
 
 def one(spark, schema, rows, *columns):
@@ -86,3 +86,14 @@ def test_texts(spark):
               scores.action(F.col("r"), F.col("g")), scores.lakh(F.col("m")), scores.grouped_digits(F.col("m")))
     assert got[0] == ("Maintain normal operations and monitor live demand.", "INR 12.35L", "1,234,567")
     assert got[1] == ("Add 3 vendor(s), stage inventory and review the next peak window.", "INR 0.00L", "99")
+
+
+def test_one_large_amount_stops_nothing(spark):
+    rows = [(1e12,), (2.5,), (None,), (1e30,), (0.1234567,), (-1e14,)]
+    frame = spark.createDataFrame(rows, "v double")
+    units, money = frame.agg(aggregates.units_sum(F.col("v")), aggregates.money_sum(F.col("v"))).first()
+    assert units == pytest.approx(1e12 + 2.5 + 0.123457 - 1e14, rel=1e-12) and money == pytest.approx(1e12 + 2.5 + 0.1235 - 1e14, rel=1e-12)
+    parts = frame.groupBy((F.col("v") > 0).alias("k")).agg(aggregates.exact_sum(F.col("v")).alias("m"), aggregates.exact_units(F.col("v")).alias("u"))
+    assert tuple(parts.agg(aggregates.units_rollup(F.col("u")), aggregates.money_rollup(F.col("m"))).first()) == (units, money)
+    nothing = frame.filter("v > 1e29").agg(aggregates.exact_sum(F.col("v")), aggregates.money_sum(F.col("v"))).first()
+    assert tuple(nothing) == (None, 0.0)
