@@ -174,3 +174,23 @@ def test_best_seller_files(spark, tmp_path):
     summary = records(tmp_path / "out/summary")[0]
     assert (summary["observed_months"], summary["total_delivered_units"], summary["source_files"]) == (1, 3, ["2024.csv"])
     assert summary["rows"][0]["top_seller"] == "rice"
+
+
+def test_many_levels_do_not_widen_the_vector(spark, tmp_path):
+    count = 200
+    frame = spark.range(4000).selectExpr(
+        f"concat('level ', id % {count}) AS code", "concat('k', id % 3) AS kind", "CAST(id % 7 AS DOUBLE) AS x",
+        f"CAST(id % {count} % 2 * 10 + id % 3 AS DOUBLE) AS y")
+    model = learning.fit_trees(frame, ["code", "kind"], ["x"], "y", 1, K.ITEM_TREES | {"trees": 10, "columns": 1.0, "step": 0.5})
+    assert model.pipeline.stages[-1].numFeatures == 1 + 1 + 3 and model.sizes() == {"code": count, "kind": 3}
+    fresh = frame.unionByName(spark.sql("SELECT 'new' AS code, 'k1' AS kind, 3D AS x, 0D AS y UNION ALL SELECT 'level 1', 'new', 3D, 0D"))
+    assert metrics.regression_metrics(model.score(frame), "y", "prediction").first().r2 > 0.9
+    formula = model.formula()({"x": F.col("x")})
+    found = model.predict(model.with_levels(fresh).withColumn("formula", formula)).filter("abs(prediction - formula) > 1e-9 OR formula IS NULL")
+    assert found.isEmpty()
+    importance = {r.feature: r.importance for r in model.importance(spark).collect()}
+    assert set(importance) == {"code", "kind", "x"} and importance["code"] > 0.5
+    model.save(str(tmp_path / "m"))
+    loaded = learning.FittedModel.load(spark, str(tmp_path / "m"))
+    assert loaded.sizes() == model.sizes()
+    assert loaded.score(fresh).agg(F.sum("prediction")).first()[0] == pytest.approx(model.score(fresh).agg(F.sum("prediction")).first()[0])
