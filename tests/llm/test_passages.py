@@ -235,3 +235,43 @@ def test_minimisers_follow_the_content():
 def test_words_are_cut_out():
     assert passages.without_words("a  b\tc d", [(1, 3)]) == "a  d" and passages.without_words(" a b", [(0, 2)]) == " "
     assert passages.without_words("a b c", [(1, 2), (2, 3)]) == "a "
+
+
+def test_moved_groups_are_those_of_all_pointers(spark):
+    """Roots kept up over rounds are those found from all passages anew; a step follows only what the one before moved."""
+    r = random.Random(4)
+    schema = "doc_id bigint, digest bigint, from_id bigint, from_digest bigint"
+
+    def drawn(count):
+        pairs = [sorted(r.sample(range(40), 2)) for _ in range(count)]
+        return spark.createDataFrame([(b, 0, a, 0) for a, b in pairs], schema), [(b, a) for a, b in pairs]
+
+    def led(pairs):
+        first = {}
+        for b, a in pairs:
+            first[b] = min(a, first.get(b, a))
+        out = {}
+        for at in first:
+            out[at] = first[at]
+            while out[at] in first:
+                out[at] = first[out[at]]
+        return out
+
+    def as_dict(frame):
+        return {row.member.id: row.root.id for row in frame.collect()}
+
+    chain = spark.createDataFrame([(i, 0, i - 1, 0) for i in range(1, 30)], schema)
+    assert as_dict(substring_dedup._roots(substring_dedup._firsts(chain).localCheckpoint())) == {i: 0 for i in range(1, 30)}
+    frame, pairs = drawn(15)
+    points = substring_dedup._Rounds(spark)
+    roots = [substring_dedup._roots(points.add(substring_dedup._firsts(frame)))]
+    now = as_dict(roots[0])
+    assert now == led(pairs)
+    for _ in range(4):
+        frame, more = drawn(5)
+        before, pairs = led(pairs), pairs + more
+        moved = substring_dedup._moved(points, frame, roots)
+        want = {d: root for d, root in led(pairs).items() if before.get(d, d) != root}
+        assert (as_dict(moved) if moved is not None else {}) == want
+        if moved is not None:
+            roots = [moved.unionByName(roots[0].join(moved.select("member"), "member", "left_anti")), roots[-1]]
