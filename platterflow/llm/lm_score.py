@@ -17,9 +17,11 @@ A word's probability is that of the class of its first id, given that a word beg
 `KNOWN` parts of the word's smoothed share of its class by count and the rest the probability of its
 ids, id by id, and of the next word to begin behind them.
 
-Only the attention weights, and which ids have classes and vectors of their own, are fitted on a
-sample: at most about `SAMPLE` training documents and `PER_TEXT` windows, evenly spaced, of each.
-Everything that is counted is counted over all.
+All is learnt from all training documents: counts, the ids' classes, and the attention weights. Their
+training begins on a sample, at most about `SAMPLE` training documents and `PER_TEXT` windows, evenly
+spaced, of each. From there each task goes once over every window of its training documents, and the
+weights are the means of what the tasks come to, by their windows. So the weights, and the last digits
+of the scores, depend on how the documents are dealt over tasks.
 
 Null and empty texts consist of the end token alone. A null id counts as held out. Rows are scored one
 by one, repeated ones alike; other columns are not read. An empty table gives no rows; without any
@@ -29,6 +31,7 @@ training document all counts are zero.
 from __future__ import annotations
 
 import base64
+import copy
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -55,6 +58,8 @@ CONTEXT, STRIDE = 8, 24
 WINDOW = CONTEXT + STRIDE
 BATCH = 256
 STEPS, RATE = 500, 0.01
+# Of the pass over all windows, of which so many are mixed at a time.
+PASS_RATE, MIXED = 0.001, 16_384
 HELD_WORDS = 300_000
 END = ""  # no word is empty
 PAD, START = -1, -2
@@ -101,7 +106,7 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Groups:
-    """Class and row of every id, by their counts in a sample. Row 0 stands for the start.
+    """Class and row of every id, by their counts. Row 0 stands for the start.
 
     A class holds either ids that begin a word (and the end id) or ids that go on with one.
     """
@@ -194,24 +199,46 @@ class Attention:
         grads = {name: np.zeros_like(x) for name, x in w.items()}
         grads["out"] = mixed.reshape(-1, VALUE).T @ slope
         grads["far"] = np.bincount(self.distance.ravel(), d_score.sum(0).ravel(), WINDOW).astype(np.float32)
-        np.add.at(grads["value"], at, share.transpose(0, 2, 1) @ d_mixed)
-        np.add.at(grads["key"], at, d_score.transpose(0, 2, 1) @ query)
-        np.add.at(grads["query"], at[:, CONTEXT:], d_score @ key)
+        for name, where, slopes in (("value", at, share.transpose(0, 2, 1) @ d_mixed), ("key", at, d_score.transpose(0, 2, 1) @ query),
+                                    ("query", at[:, CONTEXT:], d_score @ key)):
+            # The slopes of a row are summed in one run.
+            order = np.argsort(where.ravel(), kind="stable")
+            sorted_rows = where.ravel()[order]
+            begins = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
+            grads[name][sorted_rows[begins]] = np.add.reduceat(slopes.reshape(-1, slopes.shape[2])[order], begins)
         return grads
 
     def train(self, read: np.ndarray, wanted: np.ndarray, steps: int = STEPS, seed: int = 11) -> None:
         """Adaptive-moment steps over random batches of windows."""
-        random = np.random.default_rng(seed)
-        first = {n: np.zeros_like(x) for n, x in self.weights.items()}
-        second = {n: np.zeros_like(x) for n, x in self.weights.items()}
+        random, moments = np.random.default_rng(seed), Moments(self)
         for step in range(1, steps + 1 if len(read) else 1):
             pick = random.integers(0, len(read), BATCH)
-            rate = RATE * min(1.0, 4 * (1 - step / (steps + 1)))
-            for name, grad in self.gradients(read[pick], wanted[pick]).items():
-                first[name] += 0.1 * (grad - first[name])
-                second[name] += 0.01 * (grad * grad - second[name])
-                scaled = first[name] / (1 - 0.9 ** step) / (np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-8)
-                self.weights[name] -= (rate * scaled).astype(np.float32)
+            moments.step(read[pick], wanted[pick], RATE * min(1.0, 4 * (1 - step / (steps + 1))))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.weights.values()])
+
+    def take(self, flat: np.ndarray) -> None:
+        """Weights as `flat` gives them."""
+        for name, x in self.weights.items():
+            self.weights[name], flat = flat[:x.size].reshape(x.shape).astype(np.float32), flat[x.size:]
+
+
+class Moments:
+    """Adaptive-moment steps of the weights of a model."""
+
+    def __init__(self, model: Attention):
+        self.model, self.done = model, 0
+        self.first, self.second = ({n: np.zeros_like(x) for n, x in model.weights.items()} for _ in range(2))
+
+    def step(self, read: np.ndarray, wanted: np.ndarray, rate: float) -> None:
+        self.done += 1
+        for name, grad in self.model.gradients(read, wanted).items():
+            first, second = self.first[name], self.second[name]
+            first += 0.1 * (grad - first)
+            second += 0.01 * (grad * grad - second)
+            scaled = first / (1 - 0.9 ** self.done) / (np.sqrt(second / (1 - 0.99 ** self.done)) + 1e-8)
+            self.model.weights[name] -= (rate * scaled).astype(np.float32)
 
 
 class Model:
@@ -268,13 +295,12 @@ def _sample(training: DataFrame, path: str, pattern: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(p, np.int32).reshape(-1, WINDOW + 1) for p in parts]) if parts else np.empty((0, WINDOW + 1), np.int32)
 
 
-def _counted(texts: DataFrame, groups: Groups, path: str, pattern: str) -> DataFrame:
-    """The ids of each text (kind 3), and what each task has counted in training texts: words by the
-    class of their first id (0), classes after rows (1), and ids (2)."""
+def _encoded(texts: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The ids of each text (kind 3), and what each task has counted in training texts: words, with their first id (0), and ids (2)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = subwords(path, pattern)
         seen: Counter = Counter()
-        after, ids_seen = np.zeros(groups.rows * CLASSES, np.int64), np.zeros(len(encode.begins), np.int64)
+        ids_seen = np.zeros(len(encode.begins), np.int64)
 
         def counts(kind: int, keys: list, words: list, numbers: list) -> pa.RecordBatch:
             n = len(keys)
@@ -286,10 +312,10 @@ def _counted(texts: DataFrame, groups: Groups, path: str, pattern: str) -> DataF
             ends = [seen.pop(b"")] if b"" in seen else []  # an empty word has no id of its own
             words = list(seen)
             first = np.append(encode.first_ids(words), [np.uint16(encode.end)] * len(ends)).astype(int)
-            return counts(0, groups.of_id[first].tolist(), [w.decode() for w in words] + [END] * len(ends), list(seen.values()) + ends)
+            return counts(0, first.tolist(), [w.decode() for w in words] + [END] * len(ends), list(seen.values()) + ends)
 
         for batch in batches:
-            coded = []
+            coded, taught = [], []
             for held, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = words_of(text)
                 ids = encode(words)
@@ -297,8 +323,9 @@ def _counted(texts: DataFrame, groups: Groups, path: str, pattern: str) -> DataF
                 if not held:
                     seen.update(words)
                     seen[b""] += 1
-                    after += np.bincount(np.r_[0, groups.row[ids[:-1]]] * CLASSES + groups.of_id[ids], minlength=len(after))
-                    np.add.at(ids_seen, ids, 1)
+                    taught.append(ids)
+            if taught:
+                ids_seen += np.bincount(np.concatenate(taught), minlength=len(ids_seen))
             n = len(coded)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([3] * n, pa.int8()), *batch.columns[:3], pa.array(coded, pa.binary()),
@@ -307,14 +334,67 @@ def _counted(texts: DataFrame, groups: Groups, path: str, pattern: str) -> DataF
                 yield words_seen()
                 seen.clear()
         yield words_seen()
-        for kind, numbers in ((1, after), (2, ids_seen)):
-            at = np.flatnonzero(numbers)
-            yield counts(kind, at.tolist(), [None] * len(at), numbers[at].tolist())
+        at = np.flatnonzero(ids_seen)
+        yield counts(2, at.tolist(), [None] * len(at), ids_seen[at].tolist())
 
     return texts.select("row_id", "doc_id", "held_out", "text").mapInArrow(
         rows, "kind tinyint, row_id bigint, doc_id bigint, held_out boolean, ids binary, word string, key int, n bigint")
 
 
+def _taught(coded: DataFrame, groups: Groups) -> DataFrame:
+    """(key, n): how often each class follows each row, over the ids of stored training texts."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after = np.zeros(groups.rows * CLASSES, np.int64)
+        for batch in batches:
+            texts = [np.frombuffer(b, np.uint16) for b in batch.column(0).to_pylist()]
+            if not texts:
+                continue
+            ids = np.concatenate(texts)
+            read = np.r_[0, groups.row[ids[:-1]]]
+            read[np.cumsum([0, *map(len, texts[:-1])])] = 0
+            after += np.bincount(read * CLASSES + groups.of_id[ids], minlength=len(after))
+        at = np.flatnonzero(after)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(after[at])], names=["key", "n"])
+
+    return coded.select("ids").mapInArrow(rows, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _trained(coded: DataFrame, model: Attention, groups: Groups) -> None:
+    """Trains a model over every window of stored training texts, from the weights it has: once in each task, then the mean."""
+    size = model.flat().size
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, moments, count = copy.deepcopy(model), None, 0
+        random, held, waiting = np.random.default_rng(13), [], 0
+
+        def learn(cut: np.ndarray) -> None:
+            for low in range(0, len(cut), BATCH):
+                moments.step(*split_windows(cut[low:low + BATCH], groups), PASS_RATE)
+
+        moments = Moments(own)
+        for batch in batches:
+            for ids in batch.column(0).to_pylist():
+                held.append(windows(np.frombuffer(ids, np.uint16)))
+                waiting += len(held[-1])
+                if waiting >= MIXED:
+                    cut, held, waiting = np.concatenate(held), [], 0
+                    count += len(cut)
+                    learn(cut[random.permutation(len(cut))])
+        if held:
+            cut = np.concatenate(held)
+            count += len(cut)
+            learn(cut[random.permutation(len(cut))])
+        if count:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1, dtype=np.int32)), pa.array(np.append(own.flat().astype(float), 1) * count)], names=["at", "n"])
+
+    # As many rows as weights, whatever the number of tasks.
+    summed = coded.select("ids").mapInArrow(rows, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    if len(summed):
+        total = np.zeros(size + 1)
+        total[summed.column(0).to_numpy()] = summed.column(1).to_numpy()
+        model.take(total[:-1] / total[-1])
+
+
 NAMES = ["kind", "row_id", "doc_id", "held_out", "ids", "word", "key", "n"]
 
 
@@ -331,21 +411,21 @@ def scored(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     texts = id_and_text(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", (F.col("doc_id").isNull() | (fold == 0)).alias("held_out"), "text")
     encode = subwords(path, pattern)
-    cut = _sample(texts.filter(~F.col("held_out")), path, pattern)
-    seen = cut[:, CONTEXT + 1:]
-    groups = Groups(np.bincount(seen[seen >= 0], minlength=len(encode.begins)), encode.begins)
-    made = keep(_counted(texts, groups, path, pattern))
+    made = keep(_encoded(texts, path, pattern))
     counts = keep(made.filter("kind < 3").groupBy("kind", "word", "key").agg(F.sum("n").alias("n")))
     words = counts.filter("kind = 0").select("word", "key", "n")
-    # One row per class, per row and class, per id: bounded by the vocabulary.
-    by_class = words.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-    class_words = np.stack([_dense(by_class, CLASSES), np.zeros(CLASSES)], 1)
-    for r in by_class:
-        class_words[r.key, 1] = r.words
-    after = _dense(counts.filter("kind = 1").collect(), groups.rows * CLASSES).reshape(groups.rows, CLASSES)
+    # One row per id, per row and class: bounded by the vocabulary.
     id_counts = _dense(counts.filter("kind = 2").collect(), len(encode.begins))
+    groups = Groups(id_counts, encode.begins)
+    class_words = np.zeros((CLASSES, 2))
+    for r in words.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        class_words[groups.of_id[r.key]] += r.n, r.words
+    training = made.filter("kind = 3 AND NOT held_out")
+    after = _dense(_taught(training, groups).collect(), groups.rows * CLASSES).reshape(groups.rows, CLASSES)
     model = Model(groups, after, id_counts, class_words, encode.begins)
+    cut = _sample(texts.filter(~F.col("held_out")), path, pattern)
     model.attention.train(*split_windows(cut.astype(np.int64), groups))
+    _trained(training, model.attention, groups)
     common = {encode(words_of(r.word))[:-1].tobytes() if r.word else np.uint16([encode.end]).tobytes(): r.n
               for r in words.orderBy(F.desc("n"), "word").limit(COMMON).collect()}
     common.setdefault(np.uint16([encode.end]).tobytes(), int(class_words[groups.of_id[encode.end], 0] > 0 and id_counts[encode.end]))

@@ -106,3 +106,33 @@ def test_word_probabilities_sum_to_less_than_one():
     assert ids.word(ids(L.words_of("house"))[:-1]) == "house"
     parts = [ids(L.words_of(w))[:-1].tolist() for w in ("été", "c'est", "日本", "x y", " z")]
     assert ids(L.words_of("été c'est 日本 x y  z"))[:-1].tolist() == sum(parts, [])
+
+
+def test_the_weights_learn_from_documents_outside_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "one two three four five six seven " * 40) for i in range(60)], "doc_id bigint, text string")
+    monkeypatch.setattr(L, "SAMPLE", 0)
+
+    def total(rate):
+        monkeypatch.setattr(L, "PASS_RATE", rate)
+        return sum(r.score for r in L.scored(docs, PATH, PATTERN).collect())
+    assert total(0.02) > total(0.0) + 0.05
+
+
+def test_mean_of_the_tasks_is_weighted_by_windows(spark):
+    encode = L.subwords(PATH, PATTERN)
+    groups = L.Groups(np.ones(len(encode.begins)), encode.begins)
+    texts = [encode(L.words_of("lorem ipsum dolor " * 30 * (i + 1))) for i in range(4)]
+    model = L.Attention(np.zeros((groups.rows, L.CLASSES)))
+    start = model.flat()
+    frame = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "ids binary").repartition(2).localCheckpoint()
+    L._trained(frame, model, groups)
+    one = L.Attention(np.zeros((groups.rows, L.CLASSES)))
+    L._trained(frame.coalesce(1), one, groups)
+    assert np.abs(model.flat() - start).max() > 0 and np.abs(one.flat() - start).max() > 0
+    L._trained(frame.limit(0), one, groups)
+    after = L._taught(frame, groups).collect()
+    assert sum(r.n for r in after) == sum(map(len, texts))
+    seen = Counter()
+    for t in texts:
+        seen.update((np.r_[0, groups.row[t[:-1]]] * L.CLASSES + groups.of_id[t]).tolist())
+    assert {r.key: r.n for r in after} == seen
