@@ -36,6 +36,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,6 @@ STEPS, RATE = 500, 0.01
 # Of the pass over all windows, of which so many are mixed at a time.
 PASS_RATE, MIXED = 0.001, 16_384
 HELD_WORDS = 300_000
-END = ""  # no word is empty
 PAD, START = -1, -2
 
 
@@ -86,10 +86,14 @@ class Subwords:
         text = " " + b" ".join(words).decode()
         return self.encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.uint16)
 
-    def first_ids(self, words: list[bytes]) -> np.ndarray:
-        """The first id of each word."""
+    def apart(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word on its own, as bytes."""
         ids = self._ids(words)
-        return ids[self.begins[ids]]
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):  # white space other than ASCII's, at the ends of two words
+            return [self._ids([w]).tobytes() for w in words]
+        raw, edges = ids.tobytes(), (2 * np.r_[starts, len(ids)]).tolist()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
     def word(self, ids: np.ndarray) -> str:
         return b"".join([self.tokens[i] for i in ids.tolist()])[1:].decode()
@@ -161,18 +165,18 @@ class Attention:
     def forward(self, read: np.ndarray) -> tuple[np.ndarray, ...]:
         w, at = self.weights, np.maximum(read, 0)
         now = at[:, CONTEXT:]
-        query, key, value = w["query"][now], w["key"][at], w["value"][at]
+        query, key, value = w["query"].take(now, 0), w["key"].take(at, 0), w["value"].take(at, 0)
         score = query @ key.transpose(0, 2, 1)
         score += w["far"][self.distance] + self.masked
         np.minimum(score, 60, out=score)
         np.exp(score, out=score)
         # Padding on the left is only in the first window of a text; on the right later ones are masked.
         score[read[:, 0] < 0, :, :CONTEXT] = 0
-        total = score.sum(2, keepdims=True)
+        total = (score @ np.ones(WINDOW, score.dtype))[:, :, None]
         mixed = score @ value
         mixed /= total
         logits = mixed.reshape(-1, VALUE) @ w["out"]
-        logits += self.base[now.ravel()]
+        logits += self.base.take(now.ravel(), 0)
         return query, key, value, score, total, mixed, logits
 
     def log_likelihood(self, read: np.ndarray, wanted: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,25 +191,33 @@ class Attention:
     def gradients(self, read: np.ndarray, wanted: np.ndarray) -> dict[str, np.ndarray]:
         w, at = self.weights, np.maximum(read, 0)
         query, key, value, share, total, mixed, logits = self.forward(read)
-        share = share / total
-        there = wanted.ravel()
-        slope = np.exp(logits - logits.max(1, keepdims=True))
-        slope /= slope.sum(1, keepdims=True)
-        slope[np.arange(len(slope)), np.maximum(there, 0)] -= 1
-        slope *= (there >= 0)[:, None] / max(1, (there >= 0).sum())
+        share /= total
+        there = np.flatnonzero(wanted.ravel() >= 0)
+        each = np.zeros(len(logits), logits.dtype)
+        each[there] = 1 / max(1, len(there))
+        np.clip(logits, -60, 60, out=logits)
+        slope = np.exp(logits, out=logits)
+        slope *= (each / (slope @ np.ones(slope.shape[1], slope.dtype)))[:, None]
+        slope[there, wanted.ravel()[there]] -= each[there]
         d_mixed = (slope @ w["out"].T).reshape(mixed.shape)
-        d_share = d_mixed @ value.transpose(0, 2, 1)
-        d_score = share * (d_share - (d_share * share).sum(2, keepdims=True))
-        grads = {name: np.zeros_like(x) for name, x in w.items()}
-        grads["out"] = mixed.reshape(-1, VALUE).T @ slope
-        grads["far"] = np.bincount(self.distance.ravel(), d_score.sum(0).ravel(), WINDOW).astype(np.float32)
-        for name, where, slopes in (("value", at, share.transpose(0, 2, 1) @ d_mixed), ("key", at, d_score.transpose(0, 2, 1) @ query),
-                                    ("query", at[:, CONTEXT:], d_score @ key)):
-            # The slopes of a row are summed in one run.
-            order = np.argsort(where.ravel(), kind="stable")
-            sorted_rows = where.ravel()[order]
-            begins = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-            grads[name][sorted_rows[begins]] = np.add.reduceat(slopes.reshape(-1, slopes.shape[2])[order], begins)
+        d_score = d_mixed @ value.transpose(0, 2, 1)
+        # The mean of the slopes by the shares is that of the mixture.
+        d_score -= np.einsum("ijk,ijk->ij", d_mixed, mixed)[:, :, None]
+        d_score *= share
+        grads = {"out": mixed.reshape(-1, VALUE).T @ slope,
+                 "far": np.bincount(self.distance.ravel(), d_score.sum(0).ravel(), WINDOW).astype(np.float32)}
+        slopes = {"value": share.transpose(0, 2, 1) @ d_mixed, "key": d_score.transpose(0, 2, 1) @ query, "query": np.zeros_like(key)}
+        slopes["query"][:, CONTEXT:] = d_score @ key
+        # The slopes of a row are summed in one run.
+        flat = at.ravel().astype(np.uint16)
+        order = np.argsort(flat, kind="stable")
+        sorted_rows = flat[order]
+        begins = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
+        together = np.concatenate(list(slopes.values()), 2).reshape(len(flat), -1).take(order, 0)
+        sums = np.add.reduceat(together, begins)
+        for name, part in zip(slopes, np.split(sums, np.cumsum([x.shape[2] for x in slopes.values()])[:-1], 1)):
+            grads[name] = np.zeros_like(w[name])
+            grads[name][sorted_rows[begins]] = part
         return grads
 
     def train(self, read: np.ndarray, wanted: np.ndarray, steps: int = STEPS, seed: int = 11) -> None:
@@ -235,10 +247,18 @@ class Moments:
         self.done += 1
         for name, grad in self.model.gradients(read, wanted).items():
             first, second = self.first[name], self.second[name]
-            first += 0.1 * (grad - first)
-            second += 0.01 * (grad * grad - second)
-            scaled = first / (1 - 0.9 ** self.done) / (np.sqrt(second / (1 - 0.99 ** self.done)) + 1e-8)
-            self.model.weights[name] -= (rate * scaled).astype(np.float32)
+            first *= 0.9
+            first += 0.1 * grad
+            second *= 0.99
+            grad *= 0.1 * grad
+            grad *= 0.1
+            second += grad
+            scale = np.sqrt(second, out=grad)
+            scale *= (1 - 0.99 ** self.done) ** -0.5
+            scale += 1e-8
+            scaled = np.divide(first, scale, out=scale)
+            scaled *= rate / (1 - 0.9 ** self.done)
+            self.model.weights[name] -= scaled
 
 
 class Model:
@@ -254,8 +274,9 @@ class Model:
         # Of a class: the words whose first id is in it, all and distinct.
         self.class_size = class_words[:, 0] + ADDED * (class_words[:, 1] + 1)
 
-    def words(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per text, of each word: where it begins, and the logarithms of its class and of its ids; its class."""
+    def words(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word of some texts, one after the other: where it begins in all their ids, and the logarithms of its class and of
+        its ids; its class."""
         read, coming = split_windows(np.concatenate([windows(ids) for ids in texts]), self.groups)
         parts = [self.attention.log_likelihood(read[i:i + BATCH], coming[i:i + BATCH], self.groups.begins) for i in range(0, len(read), BATCH)]
         there = coming >= 0
@@ -265,13 +286,7 @@ class Model:
         first = chosen[starts] - begun[starts]
         behind = np.where(ids[starts] == self.end, 0, np.r_[begun[starts][1:], 0])
         inside = np.add.reduceat(chosen + self.inner[ids], starts) - chosen[starts] + behind
-        kinds = self.groups.of_id[ids[starts]]
-        ends = np.cumsum([len(t) for t in texts])
-        cuts = np.searchsorted(starts, ends)
-        out = []
-        for text, low, high in zip(range(len(texts)), [0, *cuts[:-1]], cuts):
-            out.append((starts[low:high] - (ends[text - 1] if text else 0), first[low:high], inside[low:high], kinds[low:high]))
-        return out
+        return starts, first, inside, self.groups.of_id[ids[starts]]
 
     def mixed(self, count, size, inside):
         return np.log10(KNOWN * (count + ADDED) / size + (1 - KNOWN) * 10.0 ** np.maximum(inside, -300))
@@ -296,40 +311,45 @@ def _sample(training: DataFrame, path: str, pattern: str) -> np.ndarray:
 
 
 def _encoded(texts: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The ids of each text (kind 3), and what each task has counted in training texts: words, with their first id (0), and ids (2)."""
+    """The ids of each text (kind 3), and what each task has counted in training texts: words, as their ids, with the first id (0), and ids (2)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = subwords(path, pattern)
-        seen: Counter = Counter()
+        end = np.uint16(encode.end).tobytes()
+        known: dict[bytes, bytes] = {}  # the ids of words met; a word's ids do not depend on the words beside it
+        seen: Counter = Counter()  # by their ids, which no two words share
         ids_seen = np.zeros(len(encode.begins), np.int64)
 
         def counts(kind: int, keys: list, words: list, numbers: list) -> pa.RecordBatch:
             n = len(keys)
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind] * n, pa.int8()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.binary()),
-                 pa.array(words, pa.string()), pa.array(keys, pa.int32()), pa.array(numbers, pa.int64())], names=NAMES)
+                 pa.array(words, pa.binary()), pa.array(keys, pa.int32()), pa.array(numbers, pa.int64())], names=NAMES)
 
         def words_seen() -> pa.RecordBatch:
-            ends = [seen.pop(b"")] if b"" in seen else []  # an empty word has no id of its own
-            words = list(seen)
-            first = np.append(encode.first_ids(words), [np.uint16(encode.end)] * len(ends)).astype(int)
-            return counts(0, first.tolist(), [w.decode() for w in words] + [END] * len(ends), list(seen.values()) + ends)
+            first = np.frombuffer(b"".join([word[:2] for word in seen]), np.uint16)
+            return counts(0, first.tolist(), list(seen), list(seen.values()))
 
         for batch in batches:
             coded, taught = [], []
             for held, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = words_of(text)
-                ids = encode(words)
-                coded.append(ids.tobytes())
+                fresh = list(set(words).difference(known))
+                if fresh:
+                    known.update(zip(fresh, encode.apart(fresh)))
+                own = [known[word] for word in words]
+                own.append(end)
+                coded.append(b"".join(own))
                 if not held:
-                    seen.update(words)
-                    seen[b""] += 1
-                    taught.append(ids)
+                    seen.update(own)
+                    taught.append(coded[-1])
             if taught:
-                ids_seen += np.bincount(np.concatenate(taught), minlength=len(ids_seen))
+                ids_seen += np.bincount(np.frombuffer(b"".join(taught), np.uint16), minlength=len(ids_seen))
             n = len(coded)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([3] * n, pa.int8()), *batch.columns[:3], pa.array(coded, pa.binary()),
-                 pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=NAMES)
+                 pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=NAMES)
+            if len(known) > HELD_WORDS:
+                known.clear()
             if len(seen) > HELD_WORDS:
                 yield words_seen()
                 seen.clear()
@@ -338,7 +358,7 @@ def _encoded(texts: DataFrame, path: str, pattern: str) -> DataFrame:
         yield counts(2, at.tolist(), [None] * len(at), ids_seen[at].tolist())
 
     return texts.select("row_id", "doc_id", "held_out", "text").mapInArrow(
-        rows, "kind tinyint, row_id bigint, doc_id bigint, held_out boolean, ids binary, word string, key int, n bigint")
+        rows, "kind tinyint, row_id bigint, doc_id bigint, held_out boolean, ids binary, word binary, key int, n bigint")
 
 
 def _taught(coded: DataFrame, groups: Groups) -> DataFrame:
@@ -426,35 +446,38 @@ def scored(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     cut = _sample(texts.filter(~F.col("held_out")), path, pattern)
     model.attention.train(*split_windows(cut.astype(np.int64), groups))
     _trained(training, model.attention, groups)
-    common = {encode(words_of(r.word))[:-1].tobytes() if r.word else np.uint16([encode.end]).tobytes(): r.n
-              for r in words.orderBy(F.desc("n"), "word").limit(COMMON).collect()}
-    common.setdefault(np.uint16([encode.end]).tobytes(), int(class_words[groups.of_id[encode.end], 0] > 0 and id_counts[encode.end]))
+    common = {bytes(r.word): r.n for r in words.orderBy(F.desc("n"), "word").limit(COMMON).collect()}
+    common.setdefault(np.uint16(encode.end).tobytes(), int(class_words[groups.of_id[encode.end], 0] > 0 and id_counts[encode.end]))
     total, distinct = (float(x) for x in class_words.sum(0))
     all_words = math.log10(total + ADDED * (distinct + 1))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = subwords(path, pattern).word
         for batch in batches:
             out: list[tuple] = []
             rare_words, rare_inside, rare_size = [], [], []
             coded = [np.frombuffer(b, np.uint16) for b in batch.column(3).to_pylist()]
             for low in range(0, len(coded), 64):
                 part = coded[low:low + 64]
-                for ids, (starts, first, inside, kinds) in zip(part, model.words(part)):
-                    raw, edges = ids.tobytes(), (2 * np.r_[starts, len(ids)]).tolist()
-                    known = list(map(common.get, [raw[a:b] for a, b in zip(edges, edges[1:])]))
-                    count = np.array([-1 if c is None else c for c in known], float)
-                    here = count >= 0
-                    size = model.class_size[kinds]
-                    score = first.sum() + model.mixed(count[here], size[here], inside[here]).sum()
-                    for a, b in zip(starts[~here].tolist(), np.r_[starts[1:], len(ids)][~here].tolist()):
-                        rare_words.append(spell(ids[a:b]))
-                    rare_inside.append(inside[~here])
-                    rare_size.append(size[~here])
-                    out.append((len(starts), int((count > 0).sum()), np.log10(count[here] + ADDED).sum(), float(score), int((~here).sum())))
+                starts, first, inside, kinds = model.words(part)
+                ids = np.concatenate(part)
+                raw, edges = ids.tobytes(), (2 * np.r_[starts, len(ids)]).tolist()
+                spelt = list(map(raw.__getitem__, map(slice, edges, edges[1:])))
+                count = np.fromiter(map(common.get, spelt, repeat(-1)), float, len(spelt))
+                here, size = count >= 0, model.class_size[kinds]
+                rare = np.flatnonzero(~here)
+                rare_words += [spelt[i] for i in rare.tolist()]
+                rare_inside.append(inside[rare])
+                rare_size.append(size[rare])
+                scores, bases = first.astype(float), np.zeros(len(first))
+                scores[here] += model.mixed(count[here], size[here], inside[here])
+                bases[here] = np.log10(count[here] + ADDED)
+                # Each text ends with a word, the end.
+                begins = np.r_[0, np.flatnonzero(ids[starts] == model.end)[:-1] + 1]
+                out += zip(np.diff(np.r_[begins, len(starts)]).tolist(), *(
+                    np.add.reduceat(x, begins).tolist() for x in ((count > 0).astype(int), bases, scores, (~here).astype(int))))
             tokens, in_common, base, score, rare = zip(*out) if out else ((),) * 5
             flat = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.string()), *(pa.array(np.concatenate([np.empty(0), *x]), k) for x, k in ((rare_inside, pa.float32()), (rare_size, pa.float64())))],
+                [pa.array(rare_words, pa.binary()), *(pa.array(np.concatenate([np.empty(0), *x]), k) for x, k in ((rare_inside, pa.float32()), (rare_size, pa.float64())))],
                 fields=list(RARE))
             offsets = pa.array(np.cumsum([0, *rare]), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -464,7 +487,7 @@ def scored(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     parts = keep(made.filter("kind = 3").select("row_id", "doc_id", "held_out", "ids").mapInArrow(
         rows, "row_id bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, part double, "
-              "rare array<struct<word string, inside float, size double>>"))
+              "rare array<struct<word binary, inside float, size double>>"))
     rare = parts.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.*").join(words.select("word", "n"), "word", "left")
     count = F.coalesce(F.col("n"), F.lit(0))
     mixed = F.log10(KNOWN * (count + ADDED) / F.col("size") + (1 - KNOWN) * F.pow(F.lit(10.0), F.greatest(F.col("inside").cast("double"), F.lit(-300.0))))
@@ -478,4 +501,4 @@ def scored(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         (F.col("part") + F.coalesce("part_rare", nothing)).alias("score"))
 
 
-RARE = pa.struct([("word", pa.string()), ("inside", pa.float32()), ("size", pa.float64())])
+RARE = pa.struct([("word", pa.binary()), ("inside", pa.float32()), ("size", pa.float64())])

@@ -136,3 +136,10 @@ def test_mean_of_the_tasks_is_weighted_by_windows(spark):
     for t in texts:
         seen.update((np.r_[0, groups.row[t[:-1]]] * L.CLASSES + groups.of_id[t]).tolist())
     assert {r.key: r.n for r in after} == seen
+
+
+def test_ids_of_words_on_their_own():
+    ids = L.subwords(PATH, PATTERN)
+    words = L.words_of("été c'est 1234567 日本 x y's  z     　  q ---")
+    assert ids.apart(words) == [ids(L.words_of(w.decode()))[:-1].tobytes() for w in words]
+    assert ids.apart([]) == []
