@@ -49,7 +49,7 @@ def _named(parts: DataFrame, *by: str) -> DataFrame:
     """Replaces the columns `by` by one integer name, in the sorted order of their distinct values."""
     order = parts.select(*by).distinct()
     names = keep(order.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id()))
-    return keep(parts.join(names, list(by)).select("row_id", "n", "at", "name"))
+    return keep(parts.join(small_side(names), list(by)).select("row_id", "n", "at", "name"))
 
 
 def identities(rows: DataFrame) -> DataFrame:

@@ -205,7 +205,7 @@ def _grouped(docs: DataFrame, shingle: int, bits: int, id_col: str, text_col: st
     rooted = keep(distinct.join(roots, F.col("fp") == F.col("member"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = keep(rooted.join(least, "root").select("fp", "root", "component_id"))
-    return printed.join(named, "fp")
+    return printed.join(small_side(named), "fp")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,7 +221,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_co
     """
     grouped = keep(_grouped(docs, shingle, bits, id_col, text_col).withColumn("document", F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "digest")))
     stays = keep(grouped.groupBy("root").agg(F.min("document").alias("stays")))
-    gone = keep(grouped.join(stays, "root").filter(F.col("document") != F.col("stays")).select(
+    gone = keep(grouped.join(small_side(stays), "root").filter(F.col("document") != F.col("stays")).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
     same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__digest"))
     return docs.join(small_side(gone), same, "left_anti")

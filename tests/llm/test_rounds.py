@@ -1,8 +1,8 @@
-"""What the rounds of the passage search move."""
+"""What the rounds of the searches move."""
 
 import contextlib
 
-from platterflow.llm import passages, substring_dedup
+from platterflow.llm import exact_dedup, passages, simhash, substring_dedup
 
 
 @contextlib.contextmanager
@@ -48,6 +48,20 @@ def test_rounds_join_stored_texts_to_few_pairs_without_a_shuffle(spark, monkeypa
     assert frames and not any("hashpartitioning" in plan for _, plan in frames)
 
 
+def test_names_and_first_documents_come_back_by_a_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x" * 3000), (2, "x" * 3000), (3, "y")], "doc_id bigint, text string")
+    frames = watched(monkeypatch, exact_dedup)
+    with joined_by_hints_alone(spark):
+        named = exact_dedup._named(docs.selectExpr("doc_id AS row_id", "1 AS n", "0 AS at", "text AS a"), "a").collect()
+    assert len({r.name for r in named}) == 2 and len(named) == 3
+    assert frames and not any("SortMergeJoin" in plan for _, plan in frames)
+    frames = watched(monkeypatch, simhash)
+    with joined_by_hints_alone(spark):
+        assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 3]
+    plans = [plan for columns, plan in frames if "document" in columns or columns == ["__id", "__digest"]]
+    assert len(plans) == 2 and not any("SortMergeJoin" in plan for plan in plans)
+
+
 def test_periods_are_looked_for_where_a_gram_comes_three_times():
     import numpy as np
 
