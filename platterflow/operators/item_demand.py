@@ -39,9 +39,10 @@ def adapt_schema(raw: DataFrame) -> DataFrame:
 def item_months(demand: DataFrame) -> DataFrame:
     """One row per observed month and item, with the optional columns the input has.
 
-    Rows are first combined per vendor, city and region and written once.  The distinct counts and
-    the last values are then taken from that table separately: counting several columns repeats
-    its rows, and only the narrow keys are repeated that way.
+    Rows are first combined per vendor, city, region and carried values and written once, so that one
+    order of a line moves with them and not one for each value.  The distinct counts and the last values
+    are then taken from that table separately: counting several columns repeats its rows, and only the
+    narrow keys are repeated that way.
     """
     present = [c for c in K.ITEM_OPTIONAL_CATEGORIES + K.ITEM_OPTIONAL_NUMBERS + K.ITEM_EXTRA_LAST
                if c in demand.columns]
@@ -51,17 +52,15 @@ def item_months(demand: DataFrame) -> DataFrame:
     carried = [c for c in lasts if c not in distinct]
     keys = ["month", "food_item"]
 
-    def newest(column: str, order: str):
-        return F.max(F.when(F.col(column).isNotNull(), F.struct(F.col(order), F.col(column).alias("value"))))
+    def newest(column: str):
+        return F.max(F.when(F.col(column).isNotNull(), F.struct("__order", F.col(column).alias("value"))))
 
-    combined = demand.groupBy(*keys, *distinct).agg(
-        units_sum(F.col("quantity_sold")).alias("quantity_sold"), F.max("line_order").alias("__order"),
-        *[newest(c, "line_order").alias(f"__{c}") for c in carried])
+    combined = demand.groupBy(*keys, *distinct, *carried).agg(
+        units_sum(F.col("quantity_sold")).alias("quantity_sold"), F.max("line_order").alias("__order"))
     if distinct:
         combined = keep(combined)
     monthly = combined.groupBy(*keys).agg(
-        F.sum("quantity_sold").alias("quantity_sold"),
-        *[(F.max(f"__{c}") if c in carried else newest(c, "__order"))["value"].alias(c) for c in lasts])
+        F.sum("quantity_sold").alias("quantity_sold"), *[newest(c)["value"].alias(c) for c in lasts])
     if not distinct:
         return monthly
     counts = combined.groupBy(*keys).agg(

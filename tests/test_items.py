@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from platterflow.operators import dashboard, item_demand, reports
 from platterflow.sources import dimensions
@@ -123,3 +125,23 @@ def test_kpi_strip_counts_tables(spark):
     evaluation = spark.createDataFrame([(1.0, 2.0, 0.5, 10)], "mae double, rmse double, r2 double, trainingRows bigint")
     got = reports.kpi_strip(evaluation, spark.range(3), spark.range(4), spark.range(0)).first()
     assert (got.stations, got.routes, got.alerts, got.forecastDays) == (3, 4, 0, 30)
+
+
+def test_one_order_of_a_line_is_stored_for_all_last_values(spark, monkeypatch):
+    """The newest value that is not null counts, the largest of equal orders; the order of a line moves once, not for each value."""
+    r = random.Random(6)
+    rows = [(f"2024-0{r.randint(1, 2)}-05", r.choice("ab"), float(r.randint(1, 9)), r.choice([None, "v", "w"]), r.choice([None, "x", "y"]),
+             r.choice([None, "n", "o"]), r.choice([None, "veg", "non"]), r.choice([None, True, False]), r.randint(0, 20)) for _ in range(200)]
+    frame = spark.createDataFrame(rows, "date string, food_item string, quantity_sold double, outlet_name string, city string, region string, "
+                                  "food_type string, is_veg boolean, at int").withColumn("line_order", F.struct("at", F.col("at").alias("again")))
+    stored, real = [], item_demand.keep
+    monkeypatch.setattr(item_demand, "keep", lambda kept: stored.append(kept.dtypes) or real(kept))
+    got = {(str(row.month)[:7], row.food_item): row for row in item_demand.item_months(item_demand.adapt_schema(frame)).collect()}
+    assert [sum("struct" in kind for _, kind in types) for types in stored] == [1]
+    assert got.keys() == {(d[:7], item) for d, item, *_ in rows}
+    for (month, item), row in got.items():
+        own = [x for x in rows if (x[0][:7], x[1]) == (month, item)]
+        assert row.quantity_sold == sum(x[2] for x in own) and row.vendor_availability == len({x[3] for x in own} - {None})
+        for at, name in ((4, "city"), (5, "region"), (6, "food_type"), (7, "is_veg")):
+            known = [(x[8], x[at]) for x in own if x[at] is not None]
+            assert row[name] == max(known)[1]
