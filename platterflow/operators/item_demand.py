@@ -39,10 +39,9 @@ def adapt_schema(raw: DataFrame) -> DataFrame:
 def item_months(demand: DataFrame) -> DataFrame:
     """One row per observed month and item, with the optional columns the input has.
 
-    Rows are first combined per vendor, city, region and carried values and written once, so that one
-    order of a line moves with them and not one for each value.  The distinct counts and the last values
-    are then taken from that table separately: counting several columns repeats its rows, and only the
-    narrow keys are repeated that way.
+    The columns that are read are written once, unshuffled: rows of one vendor, city and region are few, so combining them
+    first would move all rows and leave most.  The distinct counts and the last values are then taken from that table
+    separately: counting several columns repeats its rows, and only the narrow keys are repeated that way.
     """
     present = [c for c in K.ITEM_OPTIONAL_CATEGORIES + K.ITEM_OPTIONAL_NUMBERS + K.ITEM_EXTRA_LAST
                if c in demand.columns]
@@ -53,17 +52,16 @@ def item_months(demand: DataFrame) -> DataFrame:
     keys = ["month", "food_item"]
 
     def newest(column: str):
-        return F.max(F.when(F.col(column).isNotNull(), F.struct("__order", F.col(column).alias("value"))))
+        return F.max(F.when(F.col(column).isNotNull(), F.struct("line_order", F.col(column).alias("value"))))
 
-    combined = demand.groupBy(*keys, *distinct, *carried).agg(
-        units_sum(F.col("quantity_sold")).alias("quantity_sold"), F.max("line_order").alias("__order"))
+    rows = demand.select(*keys, *distinct, *carried, "quantity_sold", "line_order")
     if distinct:
-        combined = keep(combined)
-    monthly = combined.groupBy(*keys).agg(
-        F.sum("quantity_sold").alias("quantity_sold"), *[newest(c)["value"].alias(c) for c in lasts])
+        rows = keep(rows)
+    monthly = rows.groupBy(*keys).agg(
+        units_sum(F.col("quantity_sold")).alias("quantity_sold"), *[newest(c)["value"].alias(c) for c in lasts])
     if not distinct:
         return monthly
-    counts = combined.groupBy(*keys).agg(
+    counts = rows.groupBy(*keys).agg(
         *[F.count_distinct(c).alias(name) for c, name in distinct.items()])
     return monthly.join(counts, keys)
 
